@@ -9,13 +9,21 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DoubleType, StringType, StructField, StructType,
+)
 
 from stepforge import domains as D
 
 HASH_SIDE = 16
 SAMPLE_SIDE = 64
 
-DIFF_TYPE = "same_shape boolean, ratio double, channel_ratio double, regions array<double>"
+DIFF_TYPE = StructType([
+    StructField("same_shape", BooleanType()),
+    StructField("ratio", DoubleType()),
+    StructField("channel_ratio", DoubleType()),
+    StructField("regions", ArrayType(DoubleType())),
+])
 
 
 def _rgb(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
@@ -52,7 +60,7 @@ def perceptual_hash_of(rgb: np.ndarray) -> str:
     return np.packbits(bits).tobytes().hex()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def perceptual_hash(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
     def one(h, w, c, d):
         if d is None:
@@ -65,7 +73,7 @@ def perceptual_hash(height: pd.Series, width: pd.Series, channels: pd.Series, da
     return pd.Series([one(*row) for row in zip(height, width, channels, data)], dtype=object)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def pixel_variance(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
     """Population variance over all RGB values."""
 

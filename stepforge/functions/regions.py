@@ -74,7 +74,7 @@ def clean_regions(regions: Column, min_confidence: float = D.OCR_MIN_CONFIDENCE,
         readable,
         lambda r: F.struct(
             r["text"].alias("text"), r["bbox"].alias("bbox"),
-            F.round(r["confidence"], 4).alias("confidence"),
+            T.nearest(r["confidence"], 4).alias("confidence"),
             T.detect_script(r["text"]).alias("script"),
         ),
     )
@@ -100,7 +100,7 @@ def box_center(box: Column) -> Column:
 
 
 def normalize_point(x: Column, y: Column, w: Column, h: Column) -> Column:
-    return F.array(F.round(x / w, 4), F.round(y / h, 4))
+    return F.array(T.nearest(x / w, 4), T.nearest(y / h, 4))
 
 
 def denormalize_point(nx: Column, ny: Column, w: Column, h: Column) -> Column:
@@ -139,9 +139,9 @@ def prompt_regions(regions: Column, action_type: Column, coordinates: Column) ->
 
 
 def region_line(region: Column) -> Column:
-    return F.format_string(
-        "  - '%s' at [%.2f,%.2f,%.2f,%.2f]", region["text"], region["bbox"][0],
-        region["bbox"][1], region["bbox"][2], region["bbox"][3],
+    return F.concat(
+        F.lit("  - '"), region["text"], F.lit("' at ["),
+        F.array_join(F.transform(F.slice(region["bbox"], 1, 4), lambda v: T.fixed(v, 2)), ","), F.lit("]"),
     )
 
 

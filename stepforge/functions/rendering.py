@@ -31,7 +31,7 @@ def reasoning_request(task: Column, screen_text: Column, action_type: Column, st
     """User part of an annotation request."""
     point = F.when(
         F.size(coordinates) > 0,
-        F.format_string("Coordinates: [%.3f, %.3f]", coordinates[0], coordinates[1]),
+        F.concat(F.lit("Coordinates: ["), T.fixed(coordinates[0], 3), F.lit(", "), T.fixed(coordinates[1], 3), F.lit("]")),
     ).otherwise("Coordinates: N/A")
     typed = F.when(_blank(text) != "", F.concat(F.lit("Text: "), quoted_text(text))).otherwise("Text: N/A")
     screen = F.when(
@@ -265,7 +265,7 @@ def most_changed(ratios: Column) -> Column:
 
 def change_summary(kind: Column, changed: Column, ratio: Column) -> Column:
     where = F.when(F.size(changed) > 0, F.array_join(F.slice(changed, 1, 3), ", ")).otherwise("unknown area")
-    share = F.format_string("%.1f%%", ratio * 100)
+    share = F.concat(T.fixed(ratio * 100, 1), F.lit("%"))
     # ---- fixed values: summary sentences ----
     return (
         F.when(kind == "no_change", "No meaningful change detected")

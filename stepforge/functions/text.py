@@ -61,10 +61,32 @@ def json_string_ascii(c: Column) -> Column:
     )
 
 
+def nearest(c: Column, places: int) -> Column:
+    """The double rounded as its exact binary value demands, ties to even.
+
+    The built-in rounding works on the printed decimal, which turns 1.0125 (stored
+    slightly below) into 1.013.  Here the scaled value carries its exact rounding
+    error (Dekker's product), which decides the seeming ties.
+    """
+    scale = float(10**places)
+    scaled = c * scale
+    high = c * 134217729.0 - (c * 134217729.0 - c)
+    error = (high * scale - scaled) + (c - high) * scale
+    whole = F.floor(scaled).cast("double")
+    part = scaled - whole
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (F.pmod(whole, F.lit(2.0)) == 1.0))))
+    return (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+
+
+def fixed(c: Column, places: int) -> Column:
+    """A double with a fixed number of decimals."""
+    return F.format_string(f"%.{places}f", nearest(c, places))
+
+
 def decimal_text(c: Column, places: int = 4) -> Column:
     """A double rounded to ``places``, printed without trailing zeros (1.0, 0.25)."""
-    fixed = F.rtrim(F.format_string(f"%.{places}f", c), F.lit("0"))
-    return F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
+    digits = F.rtrim(fixed(c, places), F.lit("0"))
+    return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
 
 
 def share_of_chars(c: Column, char_class: str) -> Column:

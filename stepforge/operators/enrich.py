@@ -92,14 +92,14 @@ def score(df: DataFrame, threshold: float) -> DataFrame:
         .withColumn("ocr_score", S.ocr_score(c("n_regions"), R.mean_confidence(c("regions"))))
         .withColumn("diversity_score", S.diversity_score(c("language"), c("is_error_step"), F.size("tags"), c("action_type")))
         .withColumn("composite", S.composite(c("validation_score"), c("reasoning_score"), c("ocr_score"), c("diversity_score")))
-        .withColumn("quality_score", F.round("composite", 4))
+        .withColumn("quality_score", T.nearest(c("composite"), 4))
         .withColumn("approved", c("composite") >= threshold)
         .withColumn("status", F.when(c("approved"), "approved").otherwise("rejected"))
         .withColumn(
             "rejection_reason",
             F.when(
                 ~c("approved"),
-                F.format_string(f"Quality score %.3f below threshold {threshold}", c("composite")),
+                F.concat(F.lit("Quality score "), T.fixed(c("composite"), 3), F.lit(f" below threshold {threshold}")),
             ),
         )
     )

@@ -14,12 +14,20 @@ from stepforge.functions import text as T
 
 @dataclass(frozen=True)
 class Check:
-    """One registered check.  ``fatal`` decides between rejection and quarantine."""
+    """One registered check.  ``fatal`` decides between rejection and quarantine.
+
+    ``failed`` is an optional cheap test for "the reason is not NULL": filters on the
+    outcome are pushed down to the scan, and should not drag the texts along.
+    """
 
     name: str
     reason: Callable[[], Column]
     fatal: bool = False
     enabled: bool = True
+    failed: Callable[[], Column] | None = None
+
+    def test(self) -> Column:
+        return self.failed() if self.failed else self.reason().isNotNull()
 
 
 @dataclass
@@ -33,56 +41,84 @@ class Gate:
     checks: list[Check] = field(default_factory=list)
 
     def register(self, name: str, reason: Callable[[], Column], fatal: bool = False,
-                 enabled: bool = True) -> "Gate":
-        self.checks.append(Check(name, reason, fatal, enabled))
+                 enabled: bool = True, failed: Callable[[], Column] | None = None) -> "Gate":
+        self.checks.append(Check(name, reason, fatal, enabled, failed))
         return self
 
     def run(self, df: DataFrame) -> DataFrame:
         active = [c for c in self.checks if c.enabled]
-        reasons = [(c, f"_check_{i}") for i, c in enumerate(active)]
-        out = df.select("*", *[c.reason().alias(name) for c, name in reasons])
+        flag, text = (lambda i: F.col(f"_failed_{i}")), (lambda i: F.col(f"_reason_{i}"))
+        tested = df.select(
+            "*",
+            *[c.test().alias(f"_failed_{i}") for i, c in enumerate(active)],
+            *[c.reason().alias(f"_reason_{i}") for i, c in enumerate(active)],
+        )
         none = F.lit(None).cast("string")
-        failed_gate, reason, stopped = none, none, F.lit(False)
+        failed_gate, reason, stopped, doubtful = none, none, F.lit(False), F.lit(False)
         warnings, events = [], []
-        for check, name in reasons:
-            failed = F.col(name).isNotNull()
+        for i, check in enumerate(active):
             events.append(
                 F.when(
                     ~stopped,
                     F.struct(
                         F.lit(check.name).alias("stage"),
-                        F.when(failed, "fail").otherwise("pass").alias("result"),
-                        F.col(name).alias("reason"),
+                        F.when(flag(i), "fail").otherwise("pass").alias("result"),
+                        text(i).alias("reason"),
                         F.lit(check.fatal).alias("fatal"),
                     ),
                 )
             )
             if check.fatal:
-                failed_gate = F.coalesce(failed_gate, F.when(failed, F.lit(check.name)))
-                reason = F.coalesce(reason, F.col(name))
-                stopped = stopped | failed
+                failed_gate = F.coalesce(failed_gate, F.when(flag(i), F.lit(check.name)))
+                reason = F.coalesce(reason, text(i))
+                stopped = stopped | flag(i)
             else:
-                text = F.concat(F.lit(check.name + ": "), F.col(name))
-                warnings.append(F.when(failed & ~stopped, text))
-        warning_list = F.array_compact(F.array(*warnings)) if warnings else F.array().cast("array<string>")
-        quarantined = F.size("warnings") > 0
+                warned = flag(i) & ~stopped
+                warnings.append(F.when(warned, F.concat(F.lit(check.name + ": "), text(i))))
+                doubtful = doubtful | warned
+        no_texts = F.array().cast("array<string>")
         return (
-            out.withColumn("failed_gate", failed_gate)
+            tested.withColumn("failed_gate", failed_gate)
             .withColumn("gate_reason", reason)
-            .withColumn("warnings", warning_list)
+            .withColumn("warnings", F.array_compact(F.array(*warnings)) if warnings else no_texts)
             .withColumn("gate_events", F.array_compact(F.array(*events)))
             .withColumn(
                 "gate_status",
-                F.when(F.col("failed_gate").isNotNull(), "rejected")
-                .when(quarantined, "quarantined")
-                .otherwise("enriching"),
+                F.when(stopped, "rejected").when(doubtful, "quarantined").otherwise("enriching"),
             )
-            .withColumn("was_quarantined", F.col("gate_status") == "quarantined")
-            .withColumn("schema_valid", F.col("gate_status") == "enriching")
-            .drop(*[name for _, name in reasons])
+            .withColumn("was_quarantined", ~stopped & doubtful)
+            .withColumn("schema_valid", ~stopped & ~doubtful)
+            .drop(*[f"_{kind}_{i}" for kind in ("failed", "reason") for i in range(len(active))])
         )
 
 
+def schema_failed() -> Column:
+    empty = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")) == ""
+    fields = ("sample_id", "session_id", "step_index", "source_type", "task", "screenshot_path",
+              "action_type", "description")
+    bad = (F.col("step_index") < 0) | (F.length(T.strip(F.col("task"))) < D.MIN_TASK_CHARS)
+    for name in fields:
+        bad = bad | empty(name)
+    return F.coalesce(bad | ~F.col("action_type").isin(D.ACTION_TYPES), F.lit(True))
+
+
+def coordinate_failed() -> Column:
+    coords = F.col("coordinates")
+    fine = (F.size(coords) == 2) & ~F.exists(coords, lambda v: v.isNull() | F.isnan(v) | ~v.between(0.0, 1.0))
+    return F.coalesce(F.col("action_type").isin(D.CLICK_FAMILY), F.lit(False)) & ~F.coalesce(fine, F.lit(False))
+
+
+def image_failed(min_kb: float = D.MIN_IMAGE_KB, min_width: int = D.MIN_IMAGE_WIDTH,
+                 min_height: int = D.MIN_IMAGE_HEIGHT,
+                 min_variance: float = D.MIN_PIXEL_VARIANCE) -> Column:
+    fine = (
+        F.col("file_exists") & (F.col("length") / 1024 >= min_kb) & (F.col("width") >= min_width)
+        & (F.col("height") >= min_height)
+        & ~F.coalesce(F.col("variance") < min_variance, F.lit(False))
+    )
+    return ~F.coalesce(fine, F.lit(False))
+
+
 def schema_reason() -> Column:
     """Required fields, step number, task length, known action."""
     missing = lambda name, label: F.when(
@@ -124,9 +160,9 @@ def coordinate_reason() -> Column:
         bad = value.isNull() | F.isnan(value) | ~value.between(0.0, 1.0)
         return F.when(
             bad,
-            F.format_string(
-                f"Coordinate {name}=%.4f is outside [0.0, 1.0]. "
-                "This sample cannot produce valid click positions.", value,
+            F.concat(
+                F.lit(f"Coordinate {name}="), T.fixed(value, 4),
+                F.lit(" is outside [0.0, 1.0]. This sample cannot produce valid click positions."),
             ),
         )
 
@@ -153,8 +189,9 @@ def image_reason(min_kb: float = D.MIN_IMAGE_KB, min_width: int = D.MIN_IMAGE_WI
         F.when(~F.col("file_exists"), F.concat(F.lit("Screenshot not found: "), F.col("screenshot_path")))
         .when(
             kb < min_kb,
-            F.format_string(
-                f"Screenshot too small: %.1fKB (minimum {min_kb}KB). Likely blank or corrupted.", kb
+            F.concat(
+                F.lit("Screenshot too small: "), T.fixed(kb, 1),
+                F.lit(f"KB (minimum {min_kb}KB). Likely blank or corrupted."),
             ),
         )
         .when(F.col("width").isNull(), F.concat(F.lit("Cannot read screenshot: "), F.col("screenshot_path")))
@@ -167,9 +204,9 @@ def image_reason(min_kb: float = D.MIN_IMAGE_KB, min_width: int = D.MIN_IMAGE_WI
         )
         .when(
             F.col("variance") < min_variance,
-            F.format_string(
-                "Screenshot appears blank (pixel variance=%.1f). Likely a failed capture.",
-                F.col("variance"),
+            F.concat(
+                F.lit("Screenshot appears blank (pixel variance="), T.fixed(F.col("variance"), 1),
+                F.lit("). Likely a failed capture."),
             ),
         )
     )

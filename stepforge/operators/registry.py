@@ -94,8 +94,8 @@ def statistics(registry: DataFrame) -> DataFrame:
         n.alias("total_samples"), approved.alias("approved"), rejected.alias("rejected"),
         quarantined.alias("quarantined"),
         (n - approved - rejected - quarantined).alias("pending"),
-        F.round(approved / F.greatest(n, F.lit(1)) * 100, 1).alias("approval_rate"),
-        F.round(average, 4).alias("avg_quality_score"),
+        T.nearest(approved / F.greatest(n, F.lit(1)) * 100, 1).alias("approval_rate"),
+        T.nearest(average, 4).alias("avg_quality_score"),
     )
 
 
@@ -161,6 +161,6 @@ def list_versions(datasets: DataFrame) -> DataFrame:
 def overwrite_version(rows: DataFrame, path: str) -> None:
     """Registry storage: Parquet partitioned by version; only touched versions change."""
     (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.hint("rebalance", "dataset_version").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset_version").parquet(path)
     )

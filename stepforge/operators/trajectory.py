@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepforge import domains as D
+from stepforge.functions import text as T
 from stepforge.sources.sinks import number_text
 
 LOOKAHEAD = 2 * max(D.LOOP_WINDOWS) - 1
@@ -143,7 +144,8 @@ def coordinate_issues(flagged: DataFrame) -> DataFrame:
     text = F.when(
         c.isNull(), F.concat(step, F.lit("could not be parsed as [x, y]"))
     ).otherwise(
-        F.concat(step, F.format_string("[%.3f, %.3f] are outside valid range [0.0, 1.0]", c[0], c[1]))
+        F.concat(step, F.lit("["), T.fixed(c[0], 3), F.lit(", "), T.fixed(c[1], 3),
+                 F.lit("] are outside valid range [0.0, 1.0]"))
     )
     return flagged.where("impossible").select(
         "session_id",
@@ -196,9 +198,9 @@ def low_diversity(steps: DataFrame, max_ratio: float = D.LOW_DIVERSITY_RATIO) ->
         "session_id", "action_type", "n", "total", ratio.alias("ratio"),
         F.lit("warning").alias("severity"),
         F.lit("low_diversity").alias("issue_type"),
-        F.format_string(
-            "Action '%s' appears %d/%d times (%.0f%%) — model may overfit to this action",
-            F.col("action_type"), F.col("n"), F.col("total"), ratio * 100,
+        F.concat(
+            F.lit("Action '"), F.col("action_type"), F.lit("' appears "), F.col("n"), F.lit("/"), F.col("total"),
+            F.lit(" times ("), T.fixed(ratio * 100, 0), F.lit("%) — model may overfit to this action"),
         ).alias("description"),
     )
 

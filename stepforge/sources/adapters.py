@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from stepforge import domains as D
 from stepforge.functions import regions as R
@@ -76,6 +77,111 @@ def placed_steps(spark: SparkSession, sf_dir: str, lookahead: int = LOOKAHEAD) -
     )
 
 
+def recorded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps as recorded JSON lines, among them blank, broken and malformed ones."""
+    s = steps(spark, sf_dir)
+    k, c = F.col("k"), F.col("coordinates")
+    number = F.col("step_index").cast("string")
+    index = F.when(k % 47 == 0, "").otherwise(
+        F.concat(
+            F.lit('"step_index": '),
+            F.when(k % 43 == 0, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number), F.lit(", "),
+        )
+    )
+    kind = F.when(k % 2 == 0, F.concat(F.upper("action_type"), F.lit(" "))).otherwise(F.col("action_type"))
+    point = F.when(
+        c.isNotNull(),
+        F.concat(F.lit(', "coordinates": ["'), c[0].cast("string"), F.lit('", '), c[1].cast("string"), F.lit(", 9]")),
+    ).otherwise("")
+    typed = F.when(
+        F.col("text").isNotNull(), F.concat(F.lit(', "text": '), F.col("text"))
+    ).otherwise("")
+    action = (
+        F.when(k % 37 == 0, F.lit('"x"'))
+        .when(k % 41 == 0, F.lit("{}"))
+        .otherwise(F.concat(F.lit('{"type": "'), kind, F.lit('"'), point, typed, F.lit(', "description": "step '), number, F.lit('"}')))
+    )
+    task = F.when(k % 31 == 0, F.lit("  ")).otherwise(F.col("task"))
+    document = F.concat(
+        F.lit("{"), index, F.lit('"task": "'), task, F.lit('", "session_id": "'), F.col("session_id"),
+        F.lit('", "action": '), action, F.lit(', "screenshot_path": "/shots/'), number,
+        F.lit('.png", "ocr_text": "k='), k.cast("string"), F.lit('", "timestamp": "2024"}'),
+    )
+    value = (
+        F.when(k % 23 == 0, "").when(k % 29 == 0, "{broken").when(k % 53 == 0, "[1, 2]").otherwise(document)
+    )
+    return s.select(
+        value.alias("value"),
+        F.concat(F.lit("session_"), F.col("session_id"), F.lit(".jsonl")).alias("source_file"),
+        (F.col("event_id") + 1).alias("line_number"),
+        "event_id", "action_type", "user_id",
+    )
+
+
+def sample_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples as recorded lines of one long file, in document order."""
+    s = samples(spark, sf_dir)
+    action = F.struct(
+        F.col("action_type").alias("type"), "coordinates", "text", "key", "description"
+    )
+    document = F.to_json(
+        F.struct("step_index", "task", "session_id", action.alias("action"), "screenshot_path",
+                 F.col("ocr_text_raw").alias("ocr_text"), F.lit("2024").alias("timestamp"))
+    )
+    return s.select(
+        document.alias("value"), F.lit("recordings.jsonl").alias("source_file"),
+        (F.col("doc_id") + 1).alias("line_number"),
+    )
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded annotator answers for labelled documents: (doc_id, provider, raw_response).
+
+    The first provider answers with fenced JSON, broken when the document is toxic;
+    the second with a preamble, and only for good documents; the third always well.
+    """
+    j = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    body = F.concat(
+        F.lit('{"reasoning": '), T.json_string(F.translate("text", "{}", "()")),
+        F.lit(', "intent": "Serve item '), F.col("doc_id").cast("string"), F.lit('"}'),
+    )
+    answers = F.array(
+        F.struct(
+            F.lit("groq").alias("provider"),
+            F.when(F.col("toxic") == 1, F.lit("no json here"))
+            .otherwise(F.concat(F.lit("```json\n"), body, F.lit("\n```"))).alias("raw_response"),
+        ),
+        F.struct(
+            F.lit("google").alias("provider"),
+            F.when(F.col("quality") == 1, F.concat(F.lit("Sure, here it is: "), body))
+            .otherwise(F.lit("")).alias("raw_response"),
+        ),
+        F.struct(F.lit("openrouter").alias("provider"), body.alias("raw_response")),
+    )
+    return j.select("doc_id", F.explode(answers).alias("a")).select("doc_id", "a.*")
+
+
+def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as model answers with action blocks of every quality."""
+    c = table(spark, sf_dir, "conversations")
+    n = F.col("conv_id") + F.col("turn")
+    point = F.concat(F.lit("["), (n % 13 / 10.0).cast("string"), F.lit(", 0.5]"))
+    body = (
+        F.when(n % 7 == 0, F.lit("not json"))
+        .when(n % 7 == 1, F.lit('{"type": "fly"}'))
+        .when(n % 7 == 2, F.lit('{"type": "click", "coordinates": [0.5]}'))
+        .when(n % 7 == 3, F.lit('{"type": "type", "text": "hello", "amount": 2}'))
+        .otherwise(F.concat(F.lit('\n{"type": "click",\n "coordinates": '), point, F.lit(', "description": "OK"}\n')))
+    )
+    block = F.when(F.col("role") == "system", F.lit("")).otherwise(
+        F.concat(F.lit("<action>"), body, F.lit("</action>"), F.lit("<action>{}</action>"))
+    )
+    return c.select(
+        "conv_id", "turn", "role",
+        F.concat(F.lit("<think>\n"), F.col("text"), F.lit("\n</think>\n"), block).alias("output"),
+    )
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agent step history: a task is one user, steps numbered by event id."""
     s = steps(spark, sf_dir)
@@ -95,10 +201,10 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def region_array(text):
+def region_array(text, separator: str = "\n"):
     """Lines of a text as screen regions."""
     return F.transform(
-        F.split(text, "\n"),
+        F.split(text, separator),
         lambda line, i: F.struct(
             line.alias("text"),
             F.array(
@@ -149,7 +255,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
         .withColumn("ocr_text_raw", F.col("document"))
-        .withColumn("screenshot_path", F.concat(F.lit("/shots/"), (F.col("doc_id") % 400).cast("string"), F.lit(".png")))
+        .withColumn("screenshot_path", F.concat(F.lit("/shots/"), F.floor(F.col("doc_id") / 3).cast("string"), F.lit(".png")))
         .withColumn("regions", region_array(F.col("document")))
         .withColumn("n_regions", F.size("regions"))
         .withColumn("sha256", F.sha2("document", 256))
@@ -171,6 +277,30 @@ def screenshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def screenshot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing with dimensions and variance as an image decoder would report them."""
+    p = table(spark, sf_dir, "pages")
+    page = F.col("page_id")
+    readable = page % 13 != 0
+    return p.select(
+        F.concat(F.lit("/shots/"), page.cast("string"), F.lit(".png")).alias("path"),
+        (F.octet_length("html").cast("long") * 4).alias("length"),
+        F.when(readable, (380 + (page % 9) * 40).cast("int")).alias("width"),
+        F.when(readable, (280 + (page % 7) * 40).cast("int")).alias("height"),
+        F.when(readable, (page % 31) * 10.0).alias("variance"),
+        F.sha2("html", 256).alias("file_sha"),
+    )
+
+
+def page_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recognised regions per screenshot path: the pieces of a page between tags."""
+    p = table(spark, sf_dir, "pages")
+    return p.select(
+        F.concat(F.lit("/shots/"), F.col("page_id").cast("string"), F.lit(".png")).alias("path"),
+        region_array(F.col("html"), "<").alias("regions"),
+    )
+
+
 def conversation_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation with its number of turns and images.
 
@@ -183,7 +313,7 @@ def conversation_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("n_images", F.when(F.col("conv_id") % 5 != 0, 1).otherwise(0))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def sign_hash(word_lists: pd.Series) -> pd.Series:
     """256-bit sign hash of a word set: bit i is 1 when most word digests have it."""
     known: dict[str, np.ndarray] = {}

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepforge import domains as D
+from stepforge.functions import text as T
 
 
 def write_examples(examples: DataFrame, out_dir: str, version: str) -> None:
     """JSON lines in one folder per stage (``training_stage=...``), replaced per version."""
     (
         examples.select(F.col("stage").alias("training_stage"), F.col("line").alias("value"))
+        .hint("rebalance", "training_stage")
         .write.mode("overwrite")
         .partitionBy("training_stage")
         .text(f"{out_dir}/v{version.replace('.', '_')}")
@@ -79,8 +81,6 @@ def write_report(spark: SparkSession, path: str, report: dict) -> None:
 
 def tags_json(tags: Column) -> Column:
     """Tag array as JSON text with ', ' between the items, ASCII only."""
-    from stepforge.functions import text as T
-
     return F.concat(F.lit("["), F.array_join(F.transform(tags, T.json_string_ascii), ", "), F.lit("]"))
 
 
@@ -113,7 +113,7 @@ def flat_rows(samples: DataFrame) -> DataFrame:
         F.coalesce("language", F.lit("unknown")).alias("detected_lang"),
         F.coalesce("platform", F.lit("unknown")).alias("platform"),
         F.coalesce("difficulty", F.lit(0)).alias("difficulty"),
-        F.round(F.coalesce("quality_score", F.lit(0.0)), 4).alias("quality_score"),
+        T.nearest(F.coalesce("quality_score", F.lit(0.0)), 4).alias("quality_score"),
         blank("training_stage"), "source_type",
         tags_json(F.col("tags")).alias("tags"),
         blank("dataset_version"),
@@ -136,6 +136,7 @@ def append_session_steps(steps: DataFrame, out_dir: str) -> None:
     """
     (
         steps.withColumn("session_file", F.concat(F.lit("session_"), F.col("session_id"), F.lit(".jsonl")))
+        .hint("rebalance", "session_file")
         .write.mode("append")
         .partitionBy("session_file")
         .option("ignoreNullFields", "false")
@@ -147,6 +148,7 @@ def write_legacy_examples(examples: DataFrame, out_dir: str) -> None:
     """Older layout: one folder per stage file, nothing for an empty stage."""
     (
         examples.select("stage_file", F.col("line").alias("value"))
+        .hint("rebalance", "stage_file")
         .write.mode("overwrite")
         .partitionBy("stage_file")
         .text(out_dir)
