@@ -252,7 +252,7 @@ def custom_gate(spark, sf):
 
 
 def approved_with_files(spark, sf):
-    return shared.scored(spark, sf)
+    return shared.scored_table(spark, sf)
 
 
 SKIP_SQL = """SELECT sample_id, stage, CASE WHEN NOT approved THEN 'status:rejected'
@@ -437,7 +437,7 @@ SELECT stage, CASE WHEN stage <> 'language_detector' AND path IS NULL THEN 'fail
 FROM gated_v, (SELECT unnest(['hash_computer', 'ocr_enricher', 'language_detector']) AS stage)
 WHERE gate_status <> 'rejected' GROUP BY ALL"""))
 def enricher_chain(spark, sf):
-    events = shared.scored(spark, sf).select(F.explode("enrich_events").alias("e"))
+    events = shared.scored_table(spark, sf).select(F.explode("enrich_events").alias("e"))
     return events.groupBy("e.stage", "e.result").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -452,11 +452,12 @@ def normalizers(spark, sf):
 
 def labelled(spark, sf):
     """All samples with gate, enrichment and scores; columns of later steps are NULL for rejected rows."""
-    passed = shared.scored(spark, sf).select(
+    gate_rows = shared.gated_table(spark, sf)
+    passed = shared.scored_table(spark, sf, gate_rows).select(
         "sample_id", "enrich_failed", "approved", "rejection_reason", "training_stage", "composite", "language",
-        "quality_score", "status", "tags", "enrich_events",
+        "quality_score", "status", "enrich_events",
     )
-    first = shared.gated(spark, sf).select(
+    first = gate_rows.select(
         "sample_id", "session_id", "step_index", "gate_status", "failed_gate", "warnings", "gate_events", "action_type", "task",
         "source_type",
     )
@@ -506,14 +507,14 @@ def all_reasons(spark, sf):
 SELECT CASE WHEN composite >= 0.9::DOUBLE THEN '0.90-1.00' WHEN composite >= 0.8::DOUBLE THEN '0.80-0.90' WHEN composite >= 0.7::DOUBLE THEN '0.70-0.80'
   WHEN composite >= 0.6::DOUBLE THEN '0.60-0.70' ELSE '0.00-0.60' END AS bucket, count(*) AS n FROM routed_v GROUP BY 1"""))
 def histogram(spark, sf):
-    return M.histogram(shared.scored(spark, sf))
+    return M.histogram(shared.scored_table(spark, sf))
 
 
 @query("AGG6", V.with_view(V.SCORED, """
 SELECT 'language' AS dimension, language AS value, count(*) AS n, count(*) / (sum(count(*)) OVER ())::DOUBLE * 100 AS pct FROM routed_v GROUP BY 2
 UNION ALL SELECT 'stage', training_stage, count(*), count(*) / (sum(count(*)) OVER ())::DOUBLE * 100 FROM routed_v WHERE training_stage <> '' GROUP BY 2"""))
 def run_shares(spark, sf):
-    rows = shared.scored(spark, sf)
+    rows = shared.scored_table(spark, sf)
     part = lambda df, column, name: M.shares(df, column).select(F.lit(name).alias("dimension"), "value", "n", "pct")
     return part(rows, "language", "language").unionByName(part(rows.where("training_stage <> ''"), "training_stage", "stage"))
 
@@ -523,7 +524,7 @@ SELECT exported, ingested, exported / ingested::DOUBLE * 100 AS overall_yield FR
   SELECT (SELECT count(*) FROM routed_v WHERE training_stage <> '' AND path IS NOT NULL) AS exported, (SELECT count(*) FROM documents) AS ingested)"""))
 def overall(spark, sf):
     total = A.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("ingested"))
-    done = X.summary(shared.scored(spark, sf)).agg(F.sum(F.when(c("reason") == "exported", c("n"))).alias("exported"))
+    done = X.summary(shared.scored_table(spark, sf)).agg(F.sum(F.when(c("reason") == "exported", c("n"))).alias("exported"))
     return done.crossJoin(F.broadcast(total)).withColumn("overall_yield", M.overall_yield(c("exported"), c("ingested")))
 
 
@@ -535,7 +536,7 @@ SUMMARY_SQL = f"SELECT stage, coalesce(reason, 'exported') AS reason, count(*) A
 
 @query("AGG12", V.with_view(V.SCORED, SUMMARY_SQL))
 def export_summary(spark, sf):
-    return X.summary(shared.scored(spark, sf))
+    return X.summary(shared.scored_table(spark, sf))
 
 
 @query("AGG12_totals", V.with_view(V.SCORED, f"""
@@ -543,7 +544,7 @@ SELECT stage, sum(n)::BIGINT AS total_samples, sum(CASE WHEN reason = 'exported'
   sum(CASE WHEN reason <> 'exported' THEN n ELSE 0 END)::BIGINT AS skipped, sum(CASE WHEN reason LIKE 'wrong_stage:%' THEN n ELSE 0 END)::BIGINT AS wrong_stage,
   sum(CASE WHEN reason = 'exported' THEN n ELSE 0 END)::BIGINT / greatest(sum(n), 1)::DOUBLE AS export_rate FROM ({SUMMARY_SQL}) GROUP BY 1"""))
 def export_totals(spark, sf):
-    return X.stage_totals(X.summary(shared.scored(spark, sf)))
+    return X.stage_totals(X.summary(shared.scored_table(spark, sf)))
 
 
 ACTION_SQL = f"""'{{' || array_to_string(list_filter(['"type": ' || to_json(action_type),
@@ -599,13 +600,13 @@ lines_of_v AS (
 
 @query("FN28", EXAMPLES_SQL + "SELECT sample_id, stage, line FROM lines_of_v")
 def examples(spark, sf):
-    return X.build_examples(shared.scored(spark, sf)).select("sample_id", "stage", "line")
+    return X.build_examples(shared.scored_table(spark, sf)).select("sample_id", "stage", "line")
 
 
 @query("SNK1", EXAMPLES_SQL + "SELECT stage AS training_stage, count(*) AS n, sum(length(line))::BIGINT AS chars FROM lines_of_v GROUP BY 1")
 def example_sink(spark, sf):
     path = new_folder(spark, "examples")
-    W.write_examples(X.build_examples(shared.scored(spark, sf)), path, "1.0.0")
+    W.write_examples(X.build_examples(shared.scored_table(spark, sf)), path, "1.0.0")
     return spark.read.text(f"{path}/v1_0_0").groupBy("training_stage").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars")
     )
@@ -614,7 +615,7 @@ def example_sink(spark, sf):
 @query("SRC8", EXAMPLES_SQL + "SELECT count(*) AS total, 0::BIGINT AS errors FROM lines_of_v")
 def example_scan(spark, sf):
     path = new_folder(spark, "examples")
-    X.build_examples(shared.scored(spark, sf)).select("line").write.text(path)
+    X.build_examples(shared.scored_table(spark, sf)).select("line").write.text(path)
     read = spark.read.schema(C.EXAMPLE_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt").json(path)
     return X.check_examples(read)
 
@@ -622,7 +623,7 @@ def example_scan(spark, sf):
 @query("SNK2", V.with_view(V.SCORED, f"""
 SELECT 'steps_' || stage || '_1_0_0' AS name, n AS num_samples FROM ({SUMMARY_SQL}) WHERE reason = 'exported'"""))
 def manifest(spark, sf):
-    done = X.summary(shared.scored(spark, sf)).where("reason = 'exported'").collect()  # at most three rows
+    done = X.summary(shared.scored_table(spark, sf)).where("reason = 'exported'").collect()  # at most three rows
     info = W.update_manifest(spark, new_folder(spark, "manifest"), {r.stage: r.n for r in done}, "1.0.0")
     return spark.createDataFrame([(k, v["num_samples"]) for k, v in info.items()], "name string, num_samples long")
 
@@ -631,7 +632,7 @@ _TAGS_JSON = "'[' || array_to_string(list_transform(tags, lambda t: '\"' || t ||
 
 
 def _flat_input(spark, sf):
-    return shared.scored(spark, sf).withColumn("task_category", F.lit("")).withColumn("platform", F.lit("unknown")).withColumn(
+    return shared.scored_table(spark, sf).withColumn("task_category", F.lit("")).withColumn("platform", F.lit("unknown")).withColumn(
         "dataset_version", F.lit("1.0.0")
     )
 
@@ -657,7 +658,7 @@ SELECT language, count(*) AS n, CASE WHEN (sum(count(*)) OVER ()) < 10000 THEN '
 def card(spark, sf):
     from pyspark.sql import Window
 
-    counted = W.card_language_counts(shared.scored(spark, sf))
+    counted = W.card_language_counts(shared.scored_table(spark, sf))
     return counted.withColumn("size_category", W.size_category(F.sum("n").over(Window.partitionBy(F.lit(0)))))
 
 

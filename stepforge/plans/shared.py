@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stepforge import domains as D
 from stepforge.operators import dedup, enrich, gate
 from stepforge.sources import adapters as A
+from stepforge.storage import materialize
 
 
 def with_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +46,27 @@ def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standard_gate().run(rows.join(originals, "sample_id", "left"))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(gated(spark, sf_dir), "gated")
+
+
+def scored(spark: SparkSession, sf_dir: str, gate_rows: DataFrame | None = None) -> DataFrame:
     """Rows that passed the gate: enriched, scored and routed."""
-    passed = gated(spark, sf_dir).where("gate_status <> 'rejected'").withColumn("phash", F.lit(""))
+    rows = gated(spark, sf_dir) if gate_rows is None else gate_rows
+    passed = rows.where("gate_status <> 'rejected'").withColumn("phash", F.lit(""))
     enriched = enrich.add_difficulty(enrich.enrich(passed))
     return finish(enriched)
 
 
+def scored_table(spark: SparkSession, sf_dir: str, gate_rows: DataFrame | None = None) -> DataFrame:
+    """The same, written once.
+
+    Reports and exports filter on scores.  Over a written table such a filter is a
+    Parquet predicate; over the lazy plan it would drag the whole scoring along.
+    """
+    return materialize(scored(spark, sf_dir, gate_rows).drop("document"), "scored")
+
+
 def finish(enriched: DataFrame, threshold: float = D.QUALITY_THRESHOLD) -> DataFrame:
     flags = (
         enriched.withColumn("image_valid", ~F.exists("warnings", lambda w: w.startswith("image: ")))

@@ -289,7 +289,7 @@ def difficulty_requests(spark, sf):
 
 def _registry(spark, sf):
     return R.registry_rows(
-        shared.scored(spark, sf)
+        shared.scored_table(spark, sf)
         .withColumn("task_category", F.lit(""))
         .withColumn("dataset_version", F.concat(F.lit("1."), c("step_index").cast("string"), F.lit(".0")))
         .withColumn("created_at", F.lit("2024")).withColumn("updated_at", F.lit("2024"))
@@ -315,10 +315,10 @@ def registry_scan(spark, sf):
     return spark.read.schema(schema).parquet(path).select(*_REG_COLUMNS)
 
 
-def _second_batch(spark, sf):
+def _second_batch(spark, sf, registry):
     """New versions of the labelled samples."""
     labels = A.table(spark, sf, "labels").select(F.concat(F.lit("vn_"), c("doc_id").cast("string")).alias("sample_id"))
-    return _registry(spark, sf).join(labels, "sample_id", "left_semi").withColumn("status", F.lit("exported")).withColumn("updated_at", F.lit("2025"))
+    return registry.join(labels, "sample_id", "left_semi").withColumn("status", F.lit("exported")).withColumn("updated_at", F.lit("2025"))
 
 
 _UPSERTED = "SELECT sample_id, CASE WHEN quality IS NOT NULL THEN 'exported' ELSE status END AS status, CASE WHEN quality IS NOT NULL THEN '2025' ELSE '2024' END AS updated_at, quality_score FROM registry_v"
@@ -326,7 +326,8 @@ _UPSERTED = "SELECT sample_id, CASE WHEN quality IS NOT NULL THEN 'exported' ELS
 
 @query("SNK5", V.with_view(_REGISTRY, _UPSERTED))
 def registry_upsert(spark, sf):
-    return R.upsert(_registry(spark, sf), _second_batch(spark, sf), "sample_id").select("sample_id", "status", "updated_at", "quality_score")
+    current = _registry(spark, sf)
+    return R.upsert(current, _second_batch(spark, sf, current), "sample_id").select("sample_id", "status", "updated_at", "quality_score")
 
 
 @query("SET1", V.with_view(V.STEPS, """
