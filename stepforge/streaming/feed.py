@@ -11,13 +11,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stepforge.operators.history import status_of
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 STEP_SCHEMA = (
     "task_id string, step_index long, action_type string, success boolean, error string, "
     "reasoning string, screenshot_path string"
@@ -26,6 +23,7 @@ EVENT_SCHEMA = (
     "task_id string, event string, status string, step long, action string, success boolean, "
     "error string, reasoning string, screenshot string"
 )
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 FORGET_FINISHED_MS = 7 * 24 * 3600 * 1000
 
 
@@ -36,52 +34,43 @@ def latest_per_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.loc[frame.groupby("task_id", sort=False)["step_index"].idxmax()] if len(frame) else frame
 
 
-class TaskFeed(StatefulProcessor):
+def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """State per task: last reported step and whether the end was reported."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getValueState(
-            "seen", "last_step long, finished boolean", ttlDurationMs=FORGET_FINISHED_MS
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last, finished = self._seen.get() if self._seen.exists() else (-1, False)
-        if finished:
-            for _ in rows:
-                pass
-            return
-        newest = None
-        for frame in rows:
-            row = frame.loc[frame["step_index"].idxmax()]
-            if newest is None or row["step_index"] > newest["step_index"]:
-                newest = row
-        if newest is None or int(newest["step_index"]) <= last:
-            return
-        text = lambda v: None if v is None or pd.isna(v) else str(v)
-        status = text(newest["status"])
-        ended = status in ("completed", "failed")
-        events = [
-            (key[0], "step_update", status, int(newest["step_index"]), text(newest["action_type"]),
-             bool(newest["success"]), text(newest["error"]), (text(newest["reasoning"]) or "")[:100],
-             text(newest["screenshot_path"]))
-        ]
-        if ended:
-            events.append((key[0], "task_finished", status, None, None, None, None, None, None))
-        self._seen.update((int(newest["step_index"]), ended))
-        frame = pd.DataFrame(events, columns=[c.split()[0] for c in EVENT_SCHEMA.split(", ")])
-        yield frame.astype({"step": "Int64", "success": "boolean"})
-
-    def close(self) -> None:
-        pass
+    if state.hasTimedOut:
+        state.remove()
+        return
+    last, finished = state.get if state.exists else (-1, False)
+    newest = None
+    for frame in frames:
+        row = frame.loc[frame["step_index"].idxmax()]
+        if newest is None or row["step_index"] > newest["step_index"]:
+            newest = row
+    if finished or newest is None or int(newest["step_index"]) <= last:
+        return
+    text = lambda v: None if v is None or pd.isna(v) else str(v)
+    status = text(newest["status"])
+    ended = status in ("completed", "failed")
+    events = [
+        (key[0], "step_update", status, int(newest["step_index"]), text(newest["action_type"]),
+         bool(newest["success"]), text(newest["error"]), (text(newest["reasoning"]) or "")[:100],
+         text(newest["screenshot_path"]))
+    ]
+    if ended:
+        events.append((key[0], "task_finished", status, None, None, None, None, None, None))
+        # the tombstone silences late steps for a while and then goes
+        state.setTimeoutDuration(FORGET_FINISHED_MS)
+    state.update((int(newest["step_index"]), ended))
+    out = pd.DataFrame(events, columns=[c.split()[0] for c in EVENT_SCHEMA.split(", ")])
+    yield out.astype({"step": "Int64", "success": "boolean"})
 
 
 def task_events(steps: DataFrame) -> DataFrame:
     """Feed events of a stream of steps."""
     rated = steps.withColumn("status", status_of(F.col("action_type"), F.col("error")))
     newest = rated.mapInPandas(latest_per_batch, rated.schema)
-    return newest.groupBy("task_id").transformWithStateInPandas(
-        statefulProcessor=TaskFeed(), outputStructType=EVENT_SCHEMA, outputMode="Update",
-        timeMode="ProcessingTime",
+    return newest.groupBy("task_id").applyInPandasWithState(
+        follow, EVENT_SCHEMA, "last_step long, finished boolean", "update",
+        GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 
@@ -91,20 +80,26 @@ def start_feed(spark: SparkSession, steps_dir: str, out_dir: str, checkpoint_dir
 
     ``trigger`` defaults to one second; {"availableNow": True} drains and stops.
     """
-    spark.conf.set(STATE_STORE, ROCKSDB)
     steps = spark.readStream.schema(STEP_SCHEMA).parquet(steps_dir)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # the folder name makes a repeated batch overwrite itself
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    return (
+    writer = (
         task_events(steps).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_dir)
         .foreachBatch(append)
         .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
     )
+    # old tombstones may wait for the next steps: no batches for timeouts alone, which
+    # would also keep a draining query from ever ending
+    before = spark.conf.get(IDLE_BATCHES)
+    spark.conf.set(IDLE_BATCHES, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(IDLE_BATCHES, before)
 
 
 def waiting_tasks(tasks: DataFrame, steps: DataFrame) -> DataFrame:

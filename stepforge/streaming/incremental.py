@@ -28,6 +28,7 @@ def start_incremental(spark: SparkSession, recordings_dir: str, work_dir: str, f
     itself."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)

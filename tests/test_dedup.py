@@ -117,15 +117,15 @@ def test_near_duplicates_and_reasons(spark, options):
 
 
 def test_boundaries(spark):
-    base = {"sha": None, "phash": "0" * 64, "action": "click", "words": ["a", "b"], "coordinates": [0.5, 0.5]}
+    base = {"sha": None, "phash": "0" * 64, "action": "click", "words": ["a", "b"], "coordinates": [0.0, 0.5]}
     def kept(*others):
         rows = [dict(base, id="a", ord=0, sha="s0")]
         rows += [dict(base, **o, id=f"b{i}", ord=i + 1, sha=f"t{i}") for i, o in enumerate(others)]
         return {r.id for r in U.survivors(frame(spark, rows), 8).where("duplicate_of is null").collect()}
 
     # bit-exact tolerance edge, one step over it, other action, half of the words, chain
-    assert kept({"coordinates": [0.65, 0.5]}) == {"a"}
-    assert kept({"coordinates": [0.66, 0.5]}) == {"a", "b0"}
+    assert kept({"coordinates": [0.15, 0.5]}) == {"a"}
+    assert kept({"coordinates": [0.16, 0.5]}) == {"a", "b0"}
     assert kept({"action": "type"}) == {"a", "b0"}
     assert kept({"words": ["a"]}) == {"a"}
     assert kept({"words": ["a", "c"]}) == {"a", "b0"}
