@@ -316,21 +316,18 @@ def conversation_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @F.pandas_udf(StringType())
 def sign_hash(word_lists: pd.Series) -> pd.Series:
     """256-bit sign hash of a word set: bit i is 1 when most word digests have it."""
-    known: dict[str, np.ndarray] = {}
-
-    def votes(word: str) -> np.ndarray:
-        if word not in known:
-            digest = np.frombuffer(hashlib.sha256(word.encode("utf-8")).digest(), dtype=np.uint8)
-            known[word] = np.unpackbits(digest).astype(np.int8) * 2 - 1
-        return known[word]
-
-    def one(tokens) -> str:
-        total = np.zeros(256, dtype=np.int64)
-        for token in tokens:
-            total += votes(token)
-        return np.packbits(total > 0).tobytes().hex()
-
-    return pd.Series([one(tokens) for tokens in word_lists], dtype=object)
+    lengths = [len(tokens) for tokens in word_lists]
+    if not sum(lengths):
+        return pd.Series(["0" * 64] * len(lengths), dtype=object)
+    codes, distinct = pd.factorize(np.concatenate([np.asarray(t, dtype=object) for t in word_lists]))
+    digests = b"".join(hashlib.sha256(w.encode("utf-8")).digest() for w in distinct)
+    votes = np.unpackbits(np.frombuffer(digests, dtype=np.uint8).reshape(-1, 32), axis=1).astype(np.int8) * 2 - 1
+    ends = np.cumsum(lengths)
+    hashes = [
+        np.packbits(votes[codes[end - n:end]].sum(axis=0, dtype=np.int32) > 0).tobytes().hex()
+        for n, end in zip(lengths, ends)
+    ]
+    return pd.Series(hashes, dtype=object)
 
 
 def hashed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
