@@ -158,14 +158,13 @@ def is_clean_token(text: Column) -> Column:
     n = F.length(token)
     no_vowel = ~F.lower(token).rlike(f"[{D.SHORT_TOKEN_VOWELS}]")
     shouting = F.regexp_count(token, F.lit(r"[\p{Lu}]")) / n >= 0.5
-    return F.coalesce(
-        F.when(n <= 1, False)
+    return (
+        F.when(token.isNull() | (n <= 1), False)
         .when(n == 2, F.lower(token).isin(D.SHORT_TOKENS))
         .when(~token.rlike(r"[\p{L}\p{Nd}]"), False)
         .when(token.rlike(r"[\p{Cc}\p{Co}\p{Cn}]"), False)
         .when(n.between(3, 6) & shouting & no_vowel, False)
-        .otherwise(True),
-        F.lit(False),
+        .otherwise(True)
     )
 
 

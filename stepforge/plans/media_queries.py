@@ -139,5 +139,5 @@ def growing_folder(spark, sf):
     )
     q.awaitTermination()
     kept = spark.read.parquet(f"{base}/work/dedup_index").agg(F.count_distinct("sha").alias("kept"))
-    scored = spark.read.parquet(f"{base}/work/scored").agg(F.count(F.lit(1)).alias("scored"))
-    return kept.crossJoin(F.broadcast(scored))
+    scored = spark.read.parquet(f"{base}/work/scored").agg(F.count(F.lit(1))).scalar()
+    return kept.select("kept", scored.alias("scored"))

@@ -523,9 +523,10 @@ def run_shares(spark, sf):
 SELECT exported, ingested, exported / ingested::DOUBLE * 100 AS overall_yield FROM (
   SELECT (SELECT count(*) FROM routed_v WHERE training_stage <> '' AND path IS NOT NULL) AS exported, (SELECT count(*) FROM documents) AS ingested)"""))
 def overall(spark, sf):
-    total = A.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("ingested"))
+    total = A.table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
     done = X.summary(shared.scored_table(spark, sf)).agg(F.sum(F.when(c("reason") == "exported", c("n"))).alias("exported"))
-    return done.crossJoin(F.broadcast(total)).withColumn("overall_yield", M.overall_yield(c("exported"), c("ingested")))
+    both = done.select("exported", total.alias("ingested"))
+    return both.withColumn("overall_yield", M.overall_yield(c("exported"), c("ingested")))
 
 
 # ---- export ------------------------------------------------------------------------------------

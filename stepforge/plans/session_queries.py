@@ -202,9 +202,9 @@ def cancel(spark, sf):
     from stepforge.operators.registry import complete_task
 
     tasks = A.history(spark, sf).select("task_id").distinct()
-    first = tasks.agg(F.min("task_id").alias("first_task"))
-    table = tasks.crossJoin(F.broadcast(first)).select(
-        "task_id", "first_task", F.lit("running").alias("status"), F.lit("").alias("result")
+    first = tasks.agg(F.min("task_id")).scalar()
+    table = tasks.select(
+        "task_id", first.alias("first_task"), F.lit("running").alias("status"), F.lit("").alias("result")
     )
     return complete_task(table, F.col("first_task"), False, "Cancelled by user").drop("first_task")
 

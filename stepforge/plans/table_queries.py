@@ -362,9 +362,9 @@ FROM versions_v, (SELECT count(*) AS total FROM orders)"""))
 def version_rows(spark, sf):
     """Rows replaced by new totals unless the version is locked."""
     counts = _versions(spark, sf)
-    total = A.table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("total_samples"))
+    total = A.table(spark, sf, "orders").agg(F.count(F.lit(1))).scalar()
     current = counts.select("version", F.lit(0).cast("long").alias("total_samples"), "approved_samples", (c("approved_samples") % 2 == 0).alias("locked"))
-    incoming = counts.crossJoin(F.broadcast(total)).select("version", "total_samples", "approved_samples", F.lit(False).alias("locked"))
+    incoming = counts.select("version", total.alias("total_samples"), "approved_samples", F.lit(False).alias("locked"))
     return R.create_version(current, incoming)
 
 
