@@ -2,8 +2,8 @@
 
 Iterative jobs cut their lineage by writing a Parquet table into the shared
 folder the cluster names in ``spark.checkpoint.dir``; a lost executor then only
-costs the tasks it was running.  A folder of our own is used only when the
-session names none (unit tests on one machine).
+costs the tasks it was running.  Only a session on one machine (local master) may
+leave the folder unnamed; it then gets one of its own.
 """
 
 from __future__ import annotations
@@ -17,9 +17,13 @@ _fallback: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """Raises ValueError when a cluster session names no shared folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     global _fallback
     if _fallback is None:
         _fallback = tempfile.mkdtemp(prefix="spark-")
@@ -31,12 +35,29 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/stepforge/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table whose last reader has been written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and read it back.
 
     The result has no lineage beyond the written files and carries real size
     statistics, so Catalyst decides on broadcasts from facts.
     """
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Written(df, label).table
+
+
+class Written:
+    """A table written to the shared folder; ``drop`` deletes it after its last use."""
+
+    def __init__(self, df: DataFrame, label: str = "table"):
+        self.spark = df.sparkSession
+        self.path = new_folder(self.spark, label)
+        df.write.parquet(self.path)
+        self.table = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        remove_folder(self.spark, self.path)
