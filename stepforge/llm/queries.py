@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepforge.llm import line_quality, token_files
+from stepforge.llm import decontaminate, jaccard_rtree, line_quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,9 +38,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_index(token_files.write(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+@query("op8_jaccard_rtree")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_rtree.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op9_line_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_removed_words",
     )
+
+
+@query("op10_decontaminate")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "first_word", "end_word", "n_seeds")
