@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stepforge.llm import decontaminate, jaccard_rtree, line_quality, token_files
+from stepforge.llm import decontaminate, jaccard_rtree, line_quality, mixture, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +38,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_index(token_files.write(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+@query("op7_mixture", mixture.sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.choose(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 @query("op8_jaccard_rtree")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_rtree.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
