@@ -50,20 +50,18 @@ def _weight(name: Column, weights: Mapping[str, int] | None) -> Column:
     return out
 
 
-def _share(nodes: DataFrame, parents: DataFrame, path: list[str], child: str,
-           weights: Mapping[str, int] | None) -> DataFrame:
-    """Adds ``budget`` to the children of each parent: (path, child, capacity) to (path, child, capacity, budget).
+def _share(nodes: DataFrame, path: list[str], child: str, weights: Mapping[str, int] | None) -> DataFrame:
+    """Budgets of the children of each parent: from (path, child, capacity, given) to (path, child, capacity, budget).
 
-    Children are taken by capacity per weight: the first ones are filled up, the rest
-    share what is left by weight.
+    ``given`` is the parent's budget.  Children are taken by capacity per weight: the
+    first ones are filled up, the rest share what is left by weight.
     """
-    given = nodes.withColumn("weight", _weight(F.col(child), weights))
-    given = given.join(parents.select(*path, F.col("budget").alias("given")), path) if path else given.crossJoin(parents)
+    weighted = nodes.withColumn("weight", _weight(F.col(child), weights))
     family = Window.partitionBy(*(path or [F.lit(0)]))
     line = family.orderBy(F.col("capacity") / F.col("weight"), child)
     left = F.col("given") - F.coalesce(F.sum("capacity").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     open_weight = F.sum("weight").over(line.rowsBetween(0, Window.unboundedFollowing))
-    full = given.withColumn("is_full", F.col("capacity") * open_weight <= F.col("weight") * left)
+    full = weighted.withColumn("is_full", F.col("capacity") * open_weight <= F.col("weight") * left)
     rest = F.col("given") - F.coalesce(F.sum(F.when(F.col("is_full"), F.col("capacity"))).over(family), F.lit(0))
     free = F.sum(F.when(~F.col("is_full"), F.col("weight"))).over(family)
     shared = full.withColumn("rest", rest).withColumn("free", free)
@@ -71,14 +69,22 @@ def _share(nodes: DataFrame, parents: DataFrame, path: list[str], child: str,
     return shared.select(*path, child, "capacity", budget.alias("budget"))
 
 
-def budgets(leaves: DataFrame, budget: DataFrame, weights: Mapping[str, Mapping[str, int]]) -> DataFrame:
-    """Budget of every leaf.  ``leaves``: the levels and ``capacity``; ``budget``: one row with ``given``."""
-    parents = budget
+def budgets(leaves: DataFrame, percent: int, max_epochs: int, weights: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """Budget of every leaf.  ``leaves``: the levels and ``supply`` in tokens, one row per leaf of the tree."""
+    shared = None
     for depth, child in enumerate(LEVELS):
         path = list(LEVELS[:depth])
-        nodes = leaves.groupBy(*path, child).agg(F.sum("capacity").alias("capacity"))
-        parents = _share(nodes, parents, path, child, weights.get(child))
-    return parents
+        nodes = leaves.groupBy(*path, child).agg(F.sum("supply").alias("supply")).withColumn(
+            "capacity", F.col("supply") * max_epochs
+        )
+        if shared is None:
+            nodes = nodes.withColumn("all", F.sum("supply").over(Window.partitionBy(F.lit(0)))).withColumn(
+                "given", F.expr(f"all * {int(percent)} div 100")
+            )
+        else:
+            nodes = nodes.join(shared.select(*path, F.col("budget").alias("given")), path)
+        shared = _share(nodes, path, child, weights.get(child))
+    return shared
 
 
 def _key(epoch: Column, seed: int) -> Column:
@@ -108,8 +114,7 @@ def choose(docs: DataFrame, percent: int = BUDGET_PERCENT, max_epochs: int = MAX
         "sized",
     )
     leaves = materialize(sized.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("supply")), "leaves")
-    total = leaves.agg(F.expr(f"coalesce(sum(supply), 0) * {int(percent)} div 100").alias("given"))
-    given = budgets(leaves.withColumn("capacity", F.col("supply") * max_epochs), total, weights)
+    given = budgets(leaves, percent, max_epochs, weights)
     plan = materialize(
         given.join(leaves, list(LEVELS)).where("supply > 0").select(
             *LEVELS, F.col("budget").alias("leaf_budget"), F.expr("budget div supply").alias("epochs"),
@@ -147,6 +152,8 @@ def select(docs: DataFrame, **options) -> DataFrame:
 
 
 def _sql_weight(column: str, weights: Mapping[str, int]) -> str:
+    if not weights:
+        return "1"
     return "CASE " + " ".join(f"WHEN {column} = '{k}' THEN {w}" for k, w in weights.items()) + " ELSE 1 END"
 
 
@@ -154,13 +161,13 @@ def _sql_level(depth: int, weights: Mapping[str, Mapping[str, int]]) -> str:
     child, path = LEVELS[depth], ", ".join(LEVELS[:depth])
     own = f"{path}, {child}" if path else child
     family = f"PARTITION BY {path}" if path else ""
+    over = f"JOIN (SELECT {path}, budget AS given FROM level{depth - 1}) p USING ({path})" if path else "JOIN total ON true"
     line = f"{family} ORDER BY capacity::DOUBLE / weight, {child}"
-    parent = f"level{depth - 1} USING ({path})" if path else "total ON true"
     return f"""
 nodes{depth} AS (
   SELECT n.*, given, {_sql_weight(child, weights.get(child, {}))} AS weight
   FROM (SELECT {own}, sum(capacity)::BIGINT AS capacity FROM leaves GROUP BY {own}) n
-  JOIN {'(SELECT ' + path + ', budget AS given FROM level' + str(depth - 1) + ') p USING (' + path + ')' if path else parent}),
+  {over}),
 full{depth} AS (
   SELECT *, capacity * sum(weight) OVER ({line} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) <= weight * (given -
     coalesce(sum(capacity) OVER ({line} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_full FROM nodes{depth}),
