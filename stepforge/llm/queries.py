@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stepforge.llm import decontaminate, jaccard_rtree, line_quality, mixture, token_files
+from stepforge.llm import decontaminate, jaccard_rtree, language_id, line_quality, mixture, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +39,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_index(token_files.write(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id"), 3, 1))
+    model = language_id.learn(docs.where("NOT held_out AND doc_id IS NOT NULL"))
+    return language_id.predict(docs, model, ("doc_id", "held_out"))
+
+
 @query("op7_mixture", mixture.sql())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.choose(table(spark, sf_dir, "documents")).drop("text_key")
