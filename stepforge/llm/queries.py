@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepforge.llm import decontaminate, jaccard_rtree, language_id, line_quality, mixture, token_files
+from stepforge.llm import decontaminate, jaccard_rtree, language_id, line_quality, mixture, ppm, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +46,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, ("doc_id", "held_out"))
 
 
+@query("op4_ppm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
+    return ppm.score(docs, ppm.learn(docs.where("NOT held_out AND doc_id IS NOT NULL")))
+
+
 @query("op7_mixture", mixture.sql())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.choose(table(spark, sf_dir, "documents")).drop("text_key")
