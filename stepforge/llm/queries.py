@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepforge.llm import decontaminate, jaccard_rtree, language_id, line_quality, mixture, ppm, token_files
+from stepforge.llm import (
+    chat_format,
+    decontaminate,
+    jaccard_rtree,
+    language_id,
+    line_quality,
+    line_templates,
+    mixture,
+    ppm,
+    token_files,
+    warc,
+)
+from stepforge.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +46,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_line_templates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op2_token_files")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_index(token_files.write(table(spark, sf_dir, "documents"), tokenizer_path()))
@@ -52,6 +69,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(docs, ppm.learn(docs.where("NOT held_out AND doc_id IS NOT NULL")))
 
 
+@query("op5_chat_format", chat_format.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    written = materialize(chat_format.format_turns(turns.unionByName(chat_format.injected(spark))), "conversations")
+    return chat_format.digests(written)
+
+
+@query("op6_warc", warc.SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, sf_dir, "pages")))
+
+
 @query("op7_mixture", mixture.sql())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.choose(table(spark, sf_dir, "documents")).drop("text_key")
