@@ -35,8 +35,8 @@ from stepforge.llm import arrays
 from stepforge.storage import materialize
 
 ORDER = 5
-MAX_ENTRIES = 2_000_000
-BROADCAST_WORDS = 500_000  # frequent words that travel with the task; the rest is joined
+MAX_ENTRIES = 1_500_000
+BROADCAST_WORDS = 300_000  # frequent words that travel with the task; the rest is joined
 MERGE_AT = 2_000_000
 SLICE_BYTES = 2 << 20
 BLANK, END = 32, 10
@@ -247,25 +247,35 @@ def learn(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES,
         trie_rows = trie_rows.unionByName(longest.select(F.lit(k).alias("k"), "key", "n"))
     entries = materialize(trie_rows, "trie")
     least = _least_count(entries, max_entries)
-    rows = entries.where(F.col("n") >= least).toPandas()
-    keys, counts = [], []
-    for k in range(order + 1):
-        own = rows[rows["k"] == k].sort_values("key")
-        keys.append(own["key"].to_numpy(np.int64).view(np.uint64))
-        counts.append(own["n"].to_numpy(np.int64))
+    found = [_fetched(entries.where((F.col("k") == k) & (F.col("n") >= least)).select("key", "n")) for k in range(order + 1)]
     words = counted.where("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     sums = words.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     ends = counted.where("kind = 2").agg(F.sum("n")).first()[0] or 0
     floor = _least_count(words.select(F.col("c").alias("n")), broadcast_words)
-    frequent = words.where(F.col("c") >= floor).toPandas().sort_values("word")
+    hashes, times = _fetched(words.where(F.col("c") >= floor).select(F.col("word").alias("key"), F.col("c").alias("n")))
+    turn = np.argsort(hashes.view(np.int64))
     return Learned(
-        Trie.build(order, keys, counts),
-        Words(frequent["word"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64), ends,
+        Trie.build(order, [keys for keys, _ in found], [counts for _, counts in found]),
+        Words(hashes.view(np.int64)[turn], times[turn], ends,
               (sums["n"] or 0) + ends, sums["v"] + (ends > 0)),
         words.where(F.col("c") < floor),
     )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, counts = (batch.column(c).to_numpy().tobytes() for c in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array([keys]), pa.array([counts])], names=["keys", "counts"])
+
+
+def _fetched(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (ascending) and counts of a table of bounded length, passed to the driver as packed bytes."""
+    rows = table.mapInArrow(_packed, "keys binary, counts binary").collect()
+    keys = np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64)
+    turn = np.argsort(keys)
+    return keys[turn], np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)[turn]
+
+
 def _least_count(entries: DataFrame, most: int) -> int:
     """The least count n such that at most ``most`` entries have n or more.
 
