@@ -75,13 +75,15 @@ def difficulty_requests(samples: DataFrame) -> DataFrame:
 Annotator = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def run_annotator(requests: DataFrame, annotate: Annotator, parallelism: int = 8) -> DataFrame:
+def run_annotator(requests: DataFrame, annotate: Annotator, parallelism: int | None = None) -> DataFrame:
     """Apply a user function to the request batches.
 
     ``annotate`` yields frames with sample_id, provider, raw_response.  Rate limits
-    and retries belong to it; ``parallelism`` bounds how many copies run at once.
+    and retries belong to it.  The partitions stay as they are; ``parallelism`` sets
+    their number where an annotator must not run in more copies.
     """
-    return requests.repartition(parallelism).mapInPandas(
+    dealt = requests if parallelism is None else requests.repartition(parallelism)
+    return dealt.mapInPandas(
         annotate, "sample_id string, provider string, raw_response string"
     )
 

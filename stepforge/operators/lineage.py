@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepforge.functions import text as T
@@ -55,14 +55,28 @@ def events_of(labelled: DataFrame) -> DataFrame:
     )
 
 
-def append_events(events: DataFrame, path: str, run_id: str) -> None:
-    events.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+def append_events(events: DataFrame, path: str, run_id: str, event_time: str | None = None,
+                  version: str = "1.0.0") -> None:
+    """Append a run's events; all carry the time of the run (now, if none is given) and the version."""
+    time = F.current_timestamp() if event_time is None else F.lit(event_time).cast("timestamp")
+    (
+        events.withColumn("run_id", F.lit(run_id)).withColumn("event_time", time).withColumn("version", F.lit(version))
+        .write.mode("append").parquet(path)
+    )
+
+
+def _place(events: DataFrame) -> Column:
+    """Order of a sample's events: by run, then inside the run."""
+    known = [c for c in ("event_time", "run_id") if c in events.columns]
+    return F.struct(*known, "seq")
 
 
 def assemble(events: DataFrame) -> DataFrame:
-    """Per sample the events in order.  A sample has one event per stage and run."""
-    ordered = F.sort_array(F.collect_list(F.struct("seq", "event", "stage", "result")))
-    return events.groupBy("sample_id").agg(ordered.alias("events"))
+    """Per sample the events in order of the runs.  A sample has one event per stage and run."""
+    ordered = F.array_sort(F.collect_list(F.struct(_place(events).alias("at"), "seq", "event", "stage", "result")))
+    listed = events.groupBy("sample_id").agg(ordered.alias("events"))
+    plain = lambda e: F.struct(e["seq"].alias("seq"), e["event"].alias("event"), e["stage"].alias("stage"), e["result"].alias("result"))
+    return listed.withColumn("events", F.transform("events", plain))
 
 
 def processed_by(lineage: DataFrame, stage: str) -> DataFrame:
@@ -73,7 +87,7 @@ def last_event(events: DataFrame, stage: str) -> DataFrame:
     return (
         events.where(F.col("stage") == stage)
         .groupBy("sample_id")
-        .agg(F.max_by(F.struct("event", "result"), "seq").alias("last"))
+        .agg(F.max_by(F.struct("event", "result"), _place(events)).alias("last"))
         .select("sample_id", "last.event", "last.result")
     )
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stepforge import domains as D
 from stepforge.functions import text as T
 from stepforge.sources.sinks import tags_json
+from stepforge.storage import Written, exists, remove_folder
 
 SAMPLE_COLUMNS = (
     "sample_id", "session_id", "step_index", "source_type", "task", "task_category", "status",
@@ -40,10 +41,12 @@ def registry_rows(samples: DataFrame) -> DataFrame:
 def upsert(current: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Insert or replace: the incoming row wins for its key.
 
-    ``incoming`` may hold a key once (as after ``latest``); the current rows
-    without a new version are found by an anti join and pass through unsorted.
+    If ``incoming`` holds a key more than once, its row with the latest ``updated_at``
+    (or else any one) wins; the current rows without a new version are found by an
+    anti join and pass through unsorted.
     """
-    return current.join(incoming.select(key), key, "left_anti").unionByName(incoming)
+    once = latest(incoming, key, "updated_at") if "updated_at" in incoming.columns else incoming.dropDuplicates([key])
+    return current.join(incoming.select(key), key, "left_anti").unionByName(once)
 
 
 def latest(rows: DataFrame, key: str, recency: str) -> DataFrame:
@@ -61,8 +64,8 @@ def insert_or_ignore(current: DataFrame, incoming: DataFrame, key: str) -> DataF
 
 def query(registry: DataFrame, status: str | None = None, min_score: float | None = None,
           language: str | None = None, training_stage: str | None = None,
-          source_type: str | None = None, limit: int | None = None) -> DataFrame:
-    """Optional filters, best score first; 0 or None means no limit."""
+          source_type: str | None = None, limit: int | None = None, ordered: bool = False) -> DataFrame:
+    """Optional filters; best score first if ``ordered`` or limited (0 or None: no limit)."""
     out = registry
     equal = {
         "status": status, "detected_language": language, "training_stage": training_stage,
@@ -73,7 +76,8 @@ def query(registry: DataFrame, status: str | None = None, min_score: float | Non
             out = out.where(F.col(name) == value)
     if min_score is not None:
         out = out.where(F.col("quality_score") >= min_score)
-    out = out.orderBy(F.desc("quality_score"), "sample_id")
+    if limit or ordered:
+        out = out.orderBy(F.desc("quality_score"), "sample_id")
     return out.limit(limit) if limit else out
 
 
@@ -154,13 +158,38 @@ def complete_task(tasks: DataFrame, task_id: str | Column, success: bool, result
 
 
 def list_versions(datasets: DataFrame) -> DataFrame:
-    """Newest first by version number, not by text."""
-    return datasets.orderBy(T.parse_version(F.col("version")).desc())
+    """Adds ``place``, 1 for the newest by version number (not by text), and sorts by it.
+
+    A dataset has a handful of versions a year, so one ordered group holds them.
+    """
+    newest = Window.partitionBy(F.lit(0)).orderBy(T.parse_version(F.col("version")).desc())
+    return datasets.withColumn("place", F.row_number().over(newest)).orderBy("place")
 
 
-def overwrite_version(rows: DataFrame, path: str) -> None:
-    """Registry storage: Parquet partitioned by version; only touched versions change."""
+def register(rows: DataFrame, path: str) -> None:
+    """Upsert rows into the stored registry: Parquet partitioned by version.
+
+    Only the partitions that hold a row's old or new version are read and replaced
+    (a sample may move between versions); all other rows stay.  The new state is
+    written aside first, so a lost job leaves the table as it was.
+    """
+    spark = rows.sparkSession
+    incoming = Written(rows, "incoming")
+    touched = {r[0] for r in incoming.table.select("dataset_version").distinct().collect()}  # a few versions
+    state = upsert(incoming.table.limit(0), incoming.table, "sample_id")
+    if exists(spark, path):
+        # versions are text, whatever partition discovery would make of them
+        stored = spark.read.schema(incoming.table.schema).parquet(path)
+        left = stored.join(incoming.table.select("sample_id"), "sample_id", "left_semi").select("dataset_version").distinct()
+        touched |= {r[0] for r in left.collect()}
+        state = upsert(stored.where(F.col("dataset_version").isin(sorted(touched))), incoming.table, "sample_id")
+    state = Written(state, "registry")
+    filled = {r[0] for r in state.table.select("dataset_version").distinct().collect()}
     (
-        rows.hint("rebalance", "dataset_version").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        state.table.hint("rebalance", "dataset_version").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("dataset_version").parquet(path)
     )
+    for version in touched - filled:  # all of its samples have moved
+        remove_folder(spark, f"{path}/dataset_version={version}")
+    state.drop()
+    incoming.drop()

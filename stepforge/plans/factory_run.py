@@ -14,6 +14,7 @@ from stepforge import domains as D
 from stepforge.functions import text as T
 from stepforge.operators import annotate, dedup, enrich, export, gate, lineage, metrics, normalize, registry
 from stepforge.sources import images, recordings, sinks
+from stepforge.storage import exists as _exists
 from stepforge.storage import materialize
 
 
@@ -126,10 +127,9 @@ def process(lines: DataFrame, facts: DataFrame, regions: DataFrame | None = None
         .withColumn("is_error_step", F.lit(False))
     )
     scored = materialize(enrich.route(enrich.score(labelled, options.quality_threshold)), "scored")
-    accepted = rows.select("source_file", "line_number", c("ingest_error").isNull().alias("_ok"))
-    labelled_lines = parsed.select("source_file", "line_number").join(
-        accepted, ["source_file", "line_number"], "left"
-    ).select(F.coalesce("_ok", F.lit(False)).alias("ingested"))
+    labelled_lines = rows.select(c("ingest_error").isNull().alias("ingested")).unionByName(
+        parsed.where("line_kind <> 'parsed'").select(F.lit(False).alias("ingested"))
+    )
     return RunTables(labelled_lines, gated, scored, kept)
 
 
@@ -174,17 +174,19 @@ def _annotate(samples: DataFrame, responses: DataFrame | None, cache: DataFrame
 
 def metric_rows(tables: RunTables) -> DataFrame:
     """(metric, n): funnel, gate outcomes, stages - each one small aggregate."""
-    count = F.count(F.lit(1)).alias("n")
-    named = lambda df, prefix, column: df.groupBy(F.concat(F.lit(prefix), F.col(column)).alias("metric")).agg(count)
-    lines = tables.lines.groupBy(
-        F.when(F.col("ingested"), "lines:ingested").otherwise("lines:failed").alias("metric")
-    ).agg(count)
+    def counted(df: DataFrame, *names) -> DataFrame:
+        return df.select(F.explode(F.array_compact(F.array(*names))).alias("metric")).groupBy("metric").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+
+    named = lambda prefix, column: F.concat(F.lit(prefix), F.col(column))
     return (
-        lines.unionByName(named(tables.gated, "gate:", "gate_status"))
-        .unionByName(named(tables.gated.where("failed_gate is not null"), "failed:", "failed_gate"))
-        .unionByName(named(tables.scored, "status:", "status"))
-        .unionByName(named(tables.scored, "annotation:", "annotation_outcome"))
-        .unionByName(named(tables.scored.where("training_stage <> ''"), "stage:", "training_stage"))
+        counted(tables.lines, F.when(F.col("ingested"), "lines:ingested").otherwise("lines:failed"))
+        .unionByName(counted(tables.gated, named("gate:", "gate_status"), named("failed:", "failed_gate")))
+        .unionByName(
+            counted(tables.scored, named("status:", "status"), named("annotation:", "annotation_outcome"),
+                    F.when(F.col("training_stage") != "", named("stage:", "training_stage")))
+        )
     )
 
 
@@ -242,7 +244,7 @@ def run(spark: SparkSession, recordings_dir: str, out_dir: str, version: str = "
         .withColumn("dataset_version", F.lit(version))
         .withColumn("updated_at", F.current_timestamp().cast("string"))
     )
-    registry.overwrite_version(rows, f"{work}/registry")
+    registry.register(rows, f"{work}/registry")
     _write_version(spark, f"{work}/datasets", version, spark.read.parquet(f"{work}/registry").count(),
                    approved.count(), f"Run {run_id}")
     lineage.append_events(lineage.events_of(_with_events(tables)), f"{work}/lineage", run_id)
@@ -295,6 +297,3 @@ def _write_version(spark: SparkSession, path: str, version: str, total: int, app
     row.write.mode("overwrite").parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

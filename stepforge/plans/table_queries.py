@@ -309,7 +309,7 @@ _REG_COLUMNS = ("sample_id", "session_id", "step_index", "source_type", "task",
 def registry_scan(spark, sf):
     """The registry written by version partitions and scanned back."""
     path = new_folder(spark, "registry")
-    R.overwrite_version(_registry(spark, sf), path)
+    R.register(_registry(spark, sf), path)
     # partition values are typed by discovery, so the schema is given
     schema = "sample_id string, session_id string, step_index int, source_type string, task string, status string, quality_score double, approved boolean, training_stage string, detected_language string, action_type string, tags string, rejection_reason string, dataset_version string"
     return spark.read.schema(schema).parquet(path).select(*_REG_COLUMNS)
@@ -330,6 +330,18 @@ def registry_upsert(spark, sf):
     return R.upsert(current, _second_batch(spark, sf, current), "sample_id").select("sample_id", "status", "updated_at", "quality_score")
 
 
+@query("SNK5_runs", V.with_view(_REGISTRY, """
+SELECT sample_id, CASE WHEN quality IS NOT NULL THEN '9.0.0' ELSE dataset_version END AS dataset_version,
+  CASE WHEN quality IS NOT NULL THEN 'exported' ELSE status END AS status FROM registry_v"""))
+def registry_of_two_runs(spark, sf):
+    """Two runs over overlapping samples: the second moves its samples to a version of its own."""
+    path = new_folder(spark, "registry")
+    first = _registry(spark, sf)
+    R.register(first, path)
+    R.register(_second_batch(spark, sf, first).withColumn("dataset_version", F.lit("9.0.0")), path)
+    return spark.read.schema(first.schema).parquet(path).select("sample_id", "dataset_version", "status")
+
+
 @query("SET1", V.with_view(V.STEPS, """
 SELECT user_id, event_id, session_id, action_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM steps_v) WHERE r = 1"""))
 def latest_wins(spark, sf):
@@ -356,6 +368,12 @@ def _versions(spark, sf):
     )
 
 
+@query("SET4_lock", V.with_view(_VERSIONS, "SELECT version, version = '1995.3.0' AS locked FROM versions_v"))
+def locked_version(spark, sf):
+    open_rows = _versions(spark, sf).select("version", F.lit(False).alias("locked"))
+    return R.lock_version(open_rows, "1995.03.0")
+
+
 @query("SET3", V.with_view(_VERSIONS, """
 SELECT version, CASE WHEN approved_samples % 2 = 0 THEN 0 ELSE total END AS total_samples, approved_samples, approved_samples % 2 = 0 AS locked
 FROM versions_v, (SELECT count(*) AS total FROM orders)"""))
@@ -371,11 +389,7 @@ def version_rows(spark, sf):
 @query("SRT2", V.with_view(_VERSIONS, """
 SELECT version, row_number() OVER (ORDER BY string_split(version, '.')[1]::INT DESC, string_split(version, '.')[2]::INT DESC, string_split(version, '.')[3]::INT DESC)::INT AS place FROM versions_v"""))
 def version_list(spark, sf):
-    from pyspark.sql import Window
-
-    # a handful of releases per year: one ordered group of versions is small
-    newest = Window.partitionBy(F.lit(0)).orderBy(T.parse_version(c("version")).desc())
-    return _versions(spark, sf).select("version", F.row_number().over(newest).alias("place"))
+    return R.list_versions(_versions(spark, sf)).select("version", "place")
 
 
 @query("FN33", """
@@ -451,19 +465,33 @@ events_v AS (
   UNION ALL SELECT sample_id, 7, 'enriched', 'language_detector', 'success' FROM gated_v WHERE gate_status <> 'rejected')"""
 
 
-@query("LIN1", V.with_view(_EVENTS, "SELECT sample_id, seq, event, stage, result FROM events_v"))
-def event_log(spark, sf):
-    """Events appended to the log table and read back."""
+def _two_runs(spark, sf):
+    """The event log after two runs; run_a is the later one."""
     path = new_folder(spark, "events")
-    L.append_events(L.events_of(labelled(spark, sf)), path, "run1")
-    return spark.read.parquet(path).select("sample_id", "seq", "event", "stage", "result")
+    events = L.events_of(labelled(spark, sf))
+    L.append_events(events, path, "run_b", "2024-01-01 00:00:00")
+    L.append_events(events.where("stage <> 'ocr_enricher'"), path, "run_a", "2024-01-02 00:00:00", "1.1.0")
+    return spark.read.parquet(path)
+
 
+_TWO_RUNS = _EVENTS + """,
+runs_v AS (
+  SELECT *, 'run_b' AS run_id, '2024-01-01 00:00:00' AS event_time, '1.0.0' AS version FROM events_v
+  UNION ALL SELECT *, 'run_a', '2024-01-02 00:00:00', '1.1.0' FROM events_v WHERE stage <> 'ocr_enricher')"""
 
-@query("AGG14", V.with_view(_EVENTS, """
-SELECT sample_id, string_agg(event || ':' || stage || ':' || result, ',' ORDER BY seq) AS events, count(*) FILTER (stage = 'ocr_enricher') > 0 AS processed,
-  coalesce(max(CASE WHEN stage = 'dedup' THEN result END), '') AS dedup_result FROM events_v GROUP BY sample_id"""))
+
+@query("LIN1", V.with_view(_TWO_RUNS, "SELECT sample_id, run_id, event_time, version, seq, event, stage, result FROM runs_v"))
+def event_log(spark, sf):
+    """Events of two runs appended to the log table and read back."""
+    time = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time")
+    return _two_runs(spark, sf).select("sample_id", "run_id", time, "version", "seq", "event", "stage", "result")
+
+
+@query("AGG14", V.with_view(_TWO_RUNS, """
+SELECT sample_id, string_agg(event || ':' || stage || ':' || result, ',' ORDER BY event_time, seq) AS events, count(*) FILTER (stage = 'ocr_enricher') > 0 AS processed,
+  coalesce(arg_max(result, event_time) FILTER (stage = 'dedup'), '') AS dedup_result FROM runs_v GROUP BY sample_id"""))
 def assembled(spark, sf):
-    events = L.events_of(labelled(spark, sf))
+    events = _two_runs(spark, sf)
     last = L.last_event(events, "dedup").select("sample_id", c("result").alias("dedup_result"))
     rows = L.processed_by(L.assemble(events), "ocr_enricher").join(last, "sample_id", "left")
     text = F.transform("events", lambda e: F.concat_ws(":", e["event"], e["stage"], e["result"]))

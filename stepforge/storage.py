@@ -41,6 +41,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and read it back.
 

@@ -24,7 +24,6 @@ EVENT_SCHEMA = (
     "error string, reasoning string, screenshot string"
 )
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-FORGET_FINISHED_MS = 7 * 24 * 3600 * 1000
 
 
 def latest_per_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -34,8 +33,14 @@ def latest_per_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.loc[frame.groupby("task_id", sort=False)["step_index"].idxmax()] if len(frame) else frame
 
 
-def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State per task: last reported step and whether the end was reported."""
+def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState,
+           forget_after_ms: int | None = None) -> Iterator[pd.DataFrame]:
+    """State per task: last reported step and whether the end was reported.
+
+    A finished task stays silent for good; its state is a few bytes.  Only with
+    ``forget_after_ms`` the state goes that long after the end, and a still later
+    step would then be reported anew.
+    """
     if state.hasTimedOut:
         state.remove()
         return
@@ -57,25 +62,29 @@ def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Ite
     ]
     if ended:
         events.append((key[0], "task_finished", status, None, None, None, None, None, None))
-        # the tombstone silences late steps for a while and then goes
-        state.setTimeoutDuration(FORGET_FINISHED_MS)
+        if forget_after_ms is not None:
+            state.setTimeoutDuration(forget_after_ms)
     state.update((int(newest["step_index"]), ended))
     out = pd.DataFrame(events, columns=[c.split()[0] for c in EVENT_SCHEMA.split(", ")])
     yield out.astype({"step": "Int64", "success": "boolean"})
 
 
-def task_events(steps: DataFrame) -> DataFrame:
+def task_events(steps: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
     """Feed events of a stream of steps."""
     rated = steps.withColumn("status", status_of(F.col("action_type"), F.col("error")))
     newest = rated.mapInPandas(latest_per_batch, rated.schema)
+    timeout = GroupStateTimeout.NoTimeout if forget_after_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
+    def keep(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        return follow(key, frames, state, forget_after_ms)
+
     return newest.groupBy("task_id").applyInPandasWithState(
-        follow, EVENT_SCHEMA, "last_step long, finished boolean", "update",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        keep, EVENT_SCHEMA, "last_step long, finished boolean", "update", timeout,
     )
 
 
 def start_feed(spark: SparkSession, steps_dir: str, out_dir: str, checkpoint_dir: str,
-               trigger: dict | None = None):
+               trigger: dict | None = None, forget_after_ms: int | None = None):
     """Follow a folder of step files (Parquet); events are appended to ``out_dir``.
 
     ``trigger`` defaults to one second; {"availableNow": True} drains and stops.
@@ -87,7 +96,7 @@ def start_feed(spark: SparkSession, steps_dir: str, out_dir: str, checkpoint_dir
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     writer = (
-        task_events(steps).writeStream.outputMode("update")
+        task_events(steps, forget_after_ms).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_dir)
         .foreachBatch(append)
         .trigger(**(trigger or {"processingTime": "1 second"}))

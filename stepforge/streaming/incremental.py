@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stepforge.operators import dedup
 from stepforge.plans.factory_run import RunOptions, RunTables, process
 from stepforge.sources.recordings import scan_lines
+from stepforge.storage import exists
 
 FILES_PER_BATCH = 1000
 
@@ -41,10 +43,12 @@ def start_incremental(spark: SparkSession, recordings_dir: str, work_dir: str, f
         if not paths:
             return
         index = None
-        earlier = [f"{work_dir}/dedup_index/batch_id={i}" for i in range(batch_id)]
-        present = [p for p in earlier if _exists(spark, p)]
-        if present:
-            index = dedup.migrate_index(spark.read.parquet(*present))
+        if exists(spark, f"{work_dir}/dedup_index"):
+            # one table, whatever the number of batches; a repeated batch does not see itself
+            stored = spark.read.parquet(f"{work_dir}/dedup_index")
+            if "batch_id" in stored.columns:
+                stored = stored.where(F.coalesce(F.col("batch_id").cast("long"), F.lit(-1)) < batch_id).drop("batch_id")
+            index = dedup.migrate_index(stored)
         tables = process(
             scan_lines(spark, paths, pattern), facts, regions, options, responses, None, index
         )
@@ -61,8 +65,3 @@ def start_incremental(spark: SparkSession, recordings_dir: str, work_dir: str, f
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
