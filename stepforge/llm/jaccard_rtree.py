@@ -6,13 +6,14 @@ Two documents link when 100 * |A & B| >= percent * |A | B| of their shingle sets
 2. All shingles get one fixed order, with shingles that many documents hold last.  Linked
    sets share a shingle among their first ``n - ceil(percent * n / 100) + 1``, so classes
    meet in blocks, one per shingle in those prefixes; nothing is missed whatever the order.
-3. In a block every class is first compared with the block's smallest class only.  The
-   links found so far are closed to components; blocks inside one component are done.
-4. In the other blocks the shingles of a set are hashed into ``GROUPS`` groups.  The group
-   counts are a point; two points bound the overlap by the sum of their coordinate minima,
-   and so do the upper corners of two boxes of an R-tree.  A walk over pairs of nodes
-   skips pairs that are bounded below the threshold and pairs inside one component;
-   surviving pairs of classes are verified on the sets themselves.
+3. The shingles of a set are hashed into ``GROUPS`` groups.  The group counts are a point;
+   two points bound the overlap by the sum of their coordinate minima, and so do the upper
+   corners of two boxes of an R-tree.  Pairs bounded below the threshold are left out;
+   the sets themselves are fetched and compared for the surviving pairs only.
+4. In a block every class is first compared with the block's smallest class.  The links
+   found so far are closed to components; blocks inside one component are done.
+5. The other blocks' points are loaded into R-trees.  A walk over pairs of nodes skips
+   pairs that are bounded below the threshold and pairs inside one component.
 
 Large blocks are cut into chunks and joined chunk by chunk.  Only links that join two
 components leave a task, never all pairs of a group, and no link between components is
@@ -37,7 +38,8 @@ from stepforge.llm import arrays
 from stepforge.storage import Written, materialize
 
 PERCENT = 75
-GROUPS = 256
+GROUPS = 256  # of every point in the R-trees; points of large sets are kept finer for single pairs
+GROUP_SHINGLES = 4
 LEAF = 16
 CHUNK = 2048  # classes of one block that are joined in one piece
 COMMON_CHUNK = 1 << 22  # shingles among which a task looks for common ones
@@ -74,39 +76,78 @@ def _common(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     values = np.sort(np.concatenate(held))
     at = _runs(values)
     counts = np.diff(at)
-    often = counts >= max(3, len(held) // 500)
+    often = counts >= max(3, len(held) // 4000)
     return values[at[:-1]][often], counts[often]
 
 
-_PROFILE = "kind int, doc_id long, set_id long, n long"
+def counts_of(grams: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    return np.bincount((grams % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def pack_point(grams: np.ndarray) -> bytes:
+    """Group counts, with as many groups (a power of two, ``GROUPS`` at least) as a set of this size needs.
+
+    The first byte is the width of a count: 1, 2 or 4 bytes.
+    """
+    groups = GROUPS
+    while groups * GROUP_SHINGLES < len(grams):
+        groups *= 2
+    counts = counts_of(grams, groups)
+    most = int(counts.max())
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpack_points(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The points in ``GROUPS`` groups as rows, and each in all its groups."""
+    fine = []
+    for x in column:
+        raw = x.as_buffer()
+        fine.append(np.frombuffer(raw, f"<u{raw[0]}", offset=1) if raw is not None else np.zeros(GROUPS, np.uint8))
+    coarse = np.zeros((len(fine), GROUPS), np.int32)
+    for i, x in enumerate(fine):
+        coarse[i] = x if len(x) == GROUPS else x.reshape(-1, GROUPS).sum(axis=0, dtype=np.int32)
+    return coarse, fine
+
+
+def allows(a: np.ndarray, b: np.ndarray, n: int, m: int, percent: int) -> bool:
+    """Whether two points in all their groups, of sets of n and m shingles, allow a link."""
+    if len(a) != len(b):
+        a, b = (x if len(x) == min(len(a), len(b)) else x.reshape(-1, min(len(a), len(b))).sum(axis=0) for x in (a, b))
+    return (100 + percent) * int(np.minimum(a, b).sum(dtype=np.int64)) >= percent * (n + m)
+
+
+_PROFILE = "kind int, doc_id long, set_id long, n long, counts binary"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """kind 0: a document's class and set size; kind 1: a shingle common in a part of the task and its count."""
 
-    def rows(kind, ids, sets, counts):
+    def rows(kind, ids, sets, sizes, points):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(sets), kind, np.int32)), ids, pa.array(sets, pa.int64()), pa.array(counts, pa.int64())],
-            names=["kind", "doc_id", "set_id", "n"],
+            [pa.array(np.full(len(sets), kind, np.int32)), ids, pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()), points],
+            names=["kind", "doc_id", "set_id", "n", "counts"],
         )
 
     def common(held):
         values, counts = _common(held)
-        return rows(1, pa.nulls(len(values), pa.int64()), values.view(np.int64), counts)
+        return rows(1, pa.nulls(len(values), pa.int64()), values.view(np.int64), counts, pa.nulls(len(values), pa.binary()))
 
-    held, size = [], 0
+    held, size, met = [], 0, set()
     for part in arrays.slices(batches, "text"):
-        prints, counts = [], []
+        prints, counts, points = [], [], []
         for grams in _sets(part):
             prints.append(_fingerprint(grams))
             counts.append(len(grams))
-            if len(grams):
+            points.append(pack_point(grams))
+            if len(grams) and prints[-1] not in met:
+                met.add(prints[-1])
                 held.append(grams)
                 size += len(grams)
             if size >= COMMON_CHUNK:
                 yield common(held)
-                held, size = [], 0
-        yield rows(0, part.column("doc_id"), prints, counts)
+                held, size, met = [], 0, set()
+        yield rows(0, part.column("doc_id"), prints, counts, pa.array(points, pa.binary()))
     if held:
         yield common(held)
 
@@ -249,6 +290,22 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return (100 + percent) * overlap(a, b) >= percent * (len(a) + len(b))
 
 
+def _bounded(percent: int):
+    """Pairs whose group counts allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (a, fine_a), (b, fine_b) = unpack_points(batch.column("counts_a")), unpack_points(batch.column("counts_b"))
+            n, m = a.sum(axis=1), b.sum(axis=1)
+            good = (100 + percent) * np.minimum(a, b).sum(axis=1) >= percent * (n + m)
+            good &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            for i in np.flatnonzero(good).tolist():
+                good[i] = allows(fine_a[i], fine_b[i], int(n[i]), int(m[i]), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,10 +318,6 @@ def _verify(percent: int):
     return run
 
 
-def counts_of(grams: np.ndarray) -> np.ndarray:
-    return np.bincount((grams % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
-
-
 class Node:
     """A box of the R-tree: upper corner, range of set sizes, and the rows or two halves below it."""
 
@@ -353,28 +406,45 @@ def _pieces(group: pa.Table):
 
 
 def _may_link(percent: int):
-    """Members with a partner that the R-tree's bound can't exclude (on count vectors alone)."""
+    """Members with a partner that the bound on points can't exclude, each with one member of its chain of partners."""
 
     def run(group: pa.Table) -> pa.Table:
-        raw = group["counts"].combine_chunks()
-        points = np.stack([np.frombuffer(x.as_buffer(), np.int32) for x in raw]) if len(raw) else np.zeros((0, GROUPS))
+        points, fine = unpack_points(group["counts"])
         sizes = points.sum(axis=1)
-        marked = np.zeros(len(sizes), bool)
+        ids = group["set_id"].to_numpy()
         forest = Forest(group["comp"].to_numpy())
+        rows, roots = [], []
         for left, right in _pieces(group):
+            chains: dict[int, int] = {}
             for a, b in pairs_within(points, sizes, forest, left, right, percent):
-                marked[a] = marked[b] = True
-        return group.select(["block", "i", "j", "side", "set_id", "comp"]).filter(pa.array(marked))
+                if not allows(fine[a], fine[b], int(sizes[a]), int(sizes[b]), percent):
+                    continue
+                x, y = _root(chains, a), _root(chains, b)
+                chains[x] = y
+            for row in chains:
+                rows.append(row)
+                roots.append(int(ids[_root(chains, row)]))
+        own = group.select(["set_id", "comp"]).take(pa.array(rows, pa.int64()))
+        return own.append_column("root", pa.array(roots, pa.int64()))
 
     return run
 
 
+def _root(chains: dict[int, int], row: int) -> int:
+    chains.setdefault(row, row)
+    while chains[row] != row:
+        chains[row] = chains[chains[row]]
+        row = chains[row]
+    return row
+
+
 def _links(percent: int):
     """Verified links that join two components."""
 
     def run(group: pa.Table) -> pa.Table:
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["grams"].combine_chunks()]
-        points = np.stack([counts_of(x) for x in sets]) if sets else np.zeros((0, GROUPS))
+        packed = pa.array([pack_point(x) for x in sets], pa.binary())
+        points, fine = unpack_points(packed)
         sizes = points.sum(axis=1)
         comp, found = group["comp"].to_numpy(), []
         for left, right in _pieces(group):
@@ -385,8 +455,11 @@ def _links(percent: int):
             a_side = local[left]
             b_side = a_side if left is right else local[right]
             for a, b in pairs_within(points[rows], sizes[rows], forest, a_side, b_side, percent):
-                if linked(sets[rows[a]], sets[rows[b]], percent):
-                    found.append((int(comp[rows[a]]), int(comp[rows[b]])))
+                one, other = rows[a], rows[b]
+                if allows(fine[one], fine[other], len(sets[one]), len(sets[other]), percent) and linked(
+                    sets[one], sets[other], percent
+                ):
+                    found.append((int(comp[one]), int(comp[other])))
                     forest.parent[forest.find(a)] = forest.find(b)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
@@ -421,6 +494,18 @@ def components(edges: DataFrame) -> DataFrame:
     return placed
 
 
+def _chunked(members: DataFrame) -> DataFrame:
+    """Rows (block, set_id, comp, chunks) dealt to all pairs (i, j) of their block's chunks; side 1 is the later chunk."""
+    own = members.withColumn("own", F.pmod(F.hash("set_id"), "chunks"))
+    return materialize(
+        own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+            "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "set_id", "comp",
+        ),
+        "work",
+    )
+
+
 def _dealt(members: DataFrame, rows_in_task: int, partitions: int, fn, schema: str) -> DataFrame:
     """Apply ``fn`` to pieces of work packed into tasks of about ``rows_in_task`` rows."""
     tasks = max(partitions, members.count() // rows_in_task + 1)
@@ -455,17 +540,28 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         blocks.table.where("kind = 0").select(F.col("block").alias("b"), F.explode("sets").alias("a"))
         .distinct()
     )
-    # the sets of the classes met in blocks, from one document of each class
-    chosen = (
-        info.join(members.select("set_id").distinct(), "set_id", "left_semi")
-        .groupBy("set_id").agg(F.min("doc_id").alias("chosen"))
+    # one document and the point of each class met in blocks
+    classes = Written(
+        profile.where("kind = 0").join(members.select("set_id").distinct(), "set_id", "left_semi")
+        .groupBy("set_id").agg(F.min("doc_id").alias("chosen"), F.first("counts").alias("counts")),
+        "classes",
     )
-    rows = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen"))).select("text")
-    sets = Written(rows.mapInArrow(_encode_sets, "set_id long, grams binary").dropDuplicates(["set_id"]), "sets")
-    first = sets.table.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a"))
-    second = sets.table.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b"))
-    found = stars.join(first, "a").join(second, "b").select("a", "b", "grams_a", "grams_b")
-    placed = components(found.mapInArrow(_verify(percent), "a long, b long"))
+
+    def with_sets(ids: DataFrame) -> DataFrame:
+        """(set_id, grams) of the given classes, from the text of one document each."""
+        chosen = materialize(classes.table.join(ids.distinct(), "set_id", "left_semi").select("chosen").distinct(), "chosen")
+        rows = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen"))).select("text")
+        return materialize(rows.mapInArrow(_encode_sets, "set_id long, grams binary").dropDuplicates(["set_id"]), "sets")
+
+    def both(pairs: DataFrame, one: DataFrame, column: str) -> DataFrame:
+        first = one.select(F.col("set_id").alias("a"), F.col(column).alias(f"{column}_a"))
+        second = one.select(F.col("set_id").alias("b"), F.col(column).alias(f"{column}_b"))
+        return pairs.join(first, "a").join(second, "b").select("a", "b", f"{column}_a", f"{column}_b")
+
+    pair = "a long, b long"
+    near = materialize(both(stars, classes.table, "counts").mapInArrow(_bounded(percent), pair), "near")
+    sets = with_sets(near.select(F.col("a").alias("set_id")).union(near.select("b")))
+    placed = components(both(near, sets, "grams").mapInArrow(_verify(percent), pair))
 
     # blocks that still hold two components
     labelled = members.join(placed.withColumnRenamed("node", "set_id"), "set_id", "left").select(
@@ -478,21 +574,22 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .where("low <> high")
         .select("block", F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
     )
-    chunked = labelled.table.join(open_blocks, "block").withColumn("own", F.pmod(F.hash("set_id"), "chunks"))
-    work = Written(
-        chunked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-            "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "set_id", "comp",
-        ),
-        "work",
+    work = _chunked(labelled.table.join(open_blocks, "block"))
+    points = classes.table.select("set_id", "counts")
+    close = materialize(
+        _dealt(work.join(points, "set_id"), 20_000, partitions, _may_link(percent), "set_id long, comp long, root long"),
+        "close",
     )
-    vectors = sets.table.mapInArrow(_vectors, "set_id long, counts binary")
-    marks = "block long, i int, j int, side int, set_id long, comp long"
-    close = Written(
-        _dealt(work.table.join(vectors, "set_id"), 20_000, partitions, _may_link(percent), marks), "close"
+    # classes chained by possible links meet once, whatever the number of blocks they share
+    chains = components(close.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
+    chained = (
+        close.select("set_id", "comp").distinct()
+        .join(chains.select(F.col("node").alias("set_id"), F.col("comp").alias("block")), "set_id")
     )
-    late = _dealt(close.table.join(sets.table, "set_id"), 10_000, partitions, _links(percent), "a long, b long")
-    joined = components(late)
+    chain_sizes = chained.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    last = _chunked(chained.join(chain_sizes, "block"))
+    sets = with_sets(close.select("set_id"))
+    joined = components(_dealt(last.join(sets, "set_id"), 10_000, partitions, _links(percent), pair))
     comp = (
         placed.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("later")), "comp", "left")
         .select("node", F.coalesce("later", "comp").alias("comp"))
@@ -501,12 +598,6 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _label(info, comp)
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = [counts_of(np.frombuffer(x.as_buffer(), np.uint64)).tobytes() for x in batch.column("grams")]
-        yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(raw, pa.binary())], names=["set_id", "counts"])
-
-
 def _label(info: DataFrame, comp: DataFrame) -> DataFrame:
     placed = info.join(comp.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "doc_id", "set_id", "n", F.coalesce("comp", "set_id").alias("comp")
