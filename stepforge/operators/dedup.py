@@ -17,17 +17,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stepforge import domains as D
 from stepforge.functions import text as T
+from stepforge.operators.components import components
 from stepforge.operators.skew import HOT_ROWS, attach_per_key, split_counts
 from stepforge.storage import materialize
 
 FIRST_HEADS = 128
 MORE_HEADS = 8
+MOST_HEADS = 1000  # Spark prunes a rank up to spark.sql.optimizer.windowGroupLimitThreshold before its shuffle
 BUCKET_ROWS = 100_000
+ROUNDS = 2  # of simple decisions, before what is still open is folded by components
+FOLD_ROWS = 200_000
 
 
 def task_words(task: Column) -> Column:
@@ -126,7 +131,7 @@ def bucket_keys(prepared: DataFrame, distance: int, by_action: bool = True,
         *prepared.columns, F.col("_k.key").alias("key"), F.col("_k.band").alias("band")
     )
     crowded = split_counts(exploded, "key", bucket_rows).select("key", F.lit(True).alias("_crowded"))
-    marked = exploded.join(F.broadcast(crowded), "key", "left")
+    marked = exploded.join(crowded, "key", "left")
     finer = F.when(F.col("_crowded"), _refined(distance)).otherwise(F.array("key"))
     keyed = marked.withColumn("key", F.explode(finer)).drop("_crowded", "band")
     if with_sha:
@@ -143,9 +148,9 @@ def _with_heads(keyed: DataFrame, heads: DataFrame, hot_rows: int) -> DataFrame:
     """
     slices = split_counts(keyed, "key", hot_rows)
     slice_of = F.pmod(F.xxhash64("id"), F.coalesce("_slices", F.lit(1))).cast("int")
-    rows = keyed.join(F.broadcast(slices), "key", "left").withColumn("_slice", slice_of).drop("_slices")
+    rows = keyed.join(slices, "key", "left").withColumn("_slice", slice_of).drop("_slices")
     copies = (
-        heads.join(F.broadcast(slices), "key", "left")
+        heads.join(slices, "key", "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
         .drop("_slices")
     )
@@ -157,7 +162,7 @@ def _with_heads(keyed: DataFrame, heads: DataFrame, hot_rows: int) -> DataFrame:
 
 
 def _heads(keyed: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` rows of each bucket; Spark prunes before the shuffle."""
+    """The first ``limit`` rows of each bucket, at most ``MOST_HEADS``; Spark prunes before the shuffle."""
     by_order = Window.partitionBy("key").orderBy("ord")
     return keyed.withColumn("rank", F.row_number().over(by_order)).where(F.col("rank") <= limit)
 
@@ -201,9 +206,11 @@ def earliest_match(rows: DataFrame, distance: int, context: bool = True,
     keyed = bucket_keys(prepared, distance, by_action=context, with_sha=False, bucket_rows=bucket_rows)
     near = hamming(_r("w"), _h("w")) <= distance
     agrees = near & _context_agrees(_r, _h) if context else near
-    open_rows, done, done_heads, limit = keyed, None, 0, first_heads
+    open_rows, done, after, limit = keyed, None, None, min(first_heads, MOST_HEADS)
     while True:
-        heads = _heads(keyed, limit).where(F.col("rank") > done_heads)
+        # the next page of each bucket: rows above the last head compared with
+        ahead = keyed if after is None else keyed.join(after, "key").where("ord > last_ord").drop("last_ord")
+        heads = _heads(ahead, limit)
         hits = (
             _with_heads(open_rows, heads, hot_rows)
             .where(agrees)
@@ -213,14 +220,17 @@ def earliest_match(rows: DataFrame, distance: int, context: bool = True,
         )
         hits = materialize(hits, "near-hits")
         done = hits if done is None else done.unionByName(hits)
-        full = (
-            heads.groupBy("key").agg(F.max("rank").alias("last")).where(F.col("last") >= limit).select("key")
+        after = materialize(
+            heads.groupBy("key").agg(F.max("rank").alias("last"), F.max("ord").alias("last_ord"))
+            .where(F.col("last") >= limit).select("key", "last_ord"),
+            "pages",
         )
+        full = after.select("key")
         rest = open_rows.join(full, "key", "left_semi").join(hits.select("key", "id"), ["key", "id"], "left_anti")
         rest = materialize(rest, "near-open")
         if rest.isEmpty():
             break
-        open_rows, done_heads, limit = rest, limit, limit * MORE_HEADS
+        open_rows, limit = rest, min(limit * MORE_HEADS, MOST_HEADS)
     best = done.groupBy("id").agg(F.min("hit").alias("hit"))
     return best.select("id", F.col("hit.match_id").alias("match_id"), F.col("hit.distance").alias("distance"))
 
@@ -286,6 +296,38 @@ def exact_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return attached.where(F.col("original_id") != F.col("id")).select("id", "original_id")
 
 
+def _fold_component(frame: pd.DataFrame) -> pd.DataFrame:
+    """Decides the rows of one component along the order; rows that can't be decided yet are left out."""
+    kept, still_open, out = set(), set(), []
+    for row in frame.sort_values("place").itertuples(index=False):
+        earlier = [] if row.earlier is None else list(row.earlier)
+        original = next((e for e in earlier if e in kept), None)
+        if original is not None:
+            out.append((row.id, original))
+        elif row.sighted and not any(e in still_open for e in earlier):
+            kept.add(row.id)
+            out.append((row.id, None))
+        else:
+            still_open.add(row.id)
+    return pd.DataFrame(out, columns=["id", "duplicate_of"], dtype="object")
+
+
+def _folded(edges: DataFrame, open_ids: DataFrame, order: DataFrame) -> DataFrame:
+    """(id, duplicate_of) of the rows of components of at most ``FOLD_ROWS`` rows that the edges decide."""
+    comps = components(edges.select(F.col("id").alias("a"), F.col("earlier").alias("b")))
+    small = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= FOLD_ROWS).select("comp")
+    matches = edges.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("earlier_ord", "earlier"))).alias("m")).select(
+        "id", F.transform("m", lambda x: x["earlier"]).alias("earlier")
+    )
+    place = F.row_number().over(Window.partitionBy("comp").orderBy("ord"))
+    rows = (
+        comps.withColumnRenamed("node", "id").join(small, "comp").join(open_ids, "id").join(order, "id")
+        .join(matches, "id", "left")
+        .select("comp", "id", "sighted", "earlier", place.alias("place"))
+    )
+    return rows.groupBy("comp").applyInPandas(_fold_component, "id string, duplicate_of string")
+
+
 def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame | None = None,
               hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS,
               first_heads: int = FIRST_HEADS) -> DataFrame:
@@ -293,7 +335,10 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
 
     A row is dropped iff it matches an earlier *kept* row by file digest or as a
     near duplicate.  Decisions are taken in rounds: a row whose buckets show no
-    earlier undecided match is kept, the rows matching it are dropped.
+    earlier undecided match is kept, the rows matching it are dropped.  What two
+    rounds leave open (chains of rows each near the next) is decided component by
+    component in one fold along the order; only components of more than
+    ``FOLD_ROWS`` rows go on in rounds.
 
     ``index`` holds kept rows of earlier runs (same columns); they precede every new
     row, except rows that are being processed again, which are no duplicates of
@@ -315,7 +360,7 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
     conflict = F.coalesce(same_file, F.lit(False)) | F.coalesce(similar, F.lit(False))
 
     dropped: DataFrame | None = None
-    limit = first_heads
+    limit = min(first_heads, MOST_HEADS)
     while not undecided.isEmpty():
         keyed = materialize(bucket_keys(undecided, distance, bucket_rows=bucket_rows), "buckets")
         heads = _heads(keyed, limit)
@@ -335,7 +380,21 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
             "open",
         )
         decided: DataFrame | None = None
+        turn = 0
         while True:
+            turn += 1
+            if turn == ROUNDS + 1:
+                left = open_ids if decided is None else open_ids.join(decided, "id", "left_anti")
+                folded = materialize(_folded(edges, left, undecided.select("id", "ord")), "verdicts")
+                losers = folded.where("duplicate_of is not null")
+                dropped = losers if dropped is None else dropped.unionByName(losers)
+                decided = folded if decided is None else decided.unionByName(folded)
+                gone = folded.select("id")
+                edges = materialize(
+                    edges.join(gone, "id", "left_anti")
+                    .join(gone.withColumnRenamed("id", "earlier"), "earlier", "left_anti"),
+                    "edges",
+                )
             left = open_ids if decided is None else open_ids.join(decided, "id", "left_anti")
             keep = left.where("sighted").join(edges.select("id"), "id", "left_anti").select("id")
             hit = edges.join(keep.withColumnRenamed("id", "earlier"), "earlier", "left_semi")
@@ -357,7 +416,7 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
                 "edges",
             )
         undecided = materialize(undecided.join(decided, "id", "left_anti"), "undecided")
-        limit *= MORE_HEADS
+        limit = min(limit * MORE_HEADS, MOST_HEADS)
 
     base = rows.sparkSession
     if dropped is None:

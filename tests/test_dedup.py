@@ -144,3 +144,28 @@ def test_exact_duplicates_hot_key(spark):
     for hot in (2, 10**6):
         got = {r.id: r.original_id for r in U.exact_duplicates(frame(spark, rows), hot).collect()}
         assert got == {f"r{i}": "r1" for i in range(60) if i % 3 and i != 1}
+
+
+def test_a_long_drifting_recording_is_decided_in_a_fold(spark):
+    value, rows = 0, []
+    for i in range(60):
+        rows.append({"id": f"d{i}", "ord": i, "sha": f"s{i}", "phash": f"{value:064x}", "action": "key", "words": ["a"], "coordinates": None})
+        for bit in range(5):  # each frame is near the next, not the one after
+            value ^= 1 << (i * 5 + bit) % 256
+    kept = {r["id"] for r in U.survivors(spark.createDataFrame(rows, SCHEMA), 8).where("duplicate_of is null").collect()}
+    assert kept == sequential(rows, 8)
+    assert 20 <= len(kept) <= 40
+
+
+def test_pages_of_heads_find_matches_behind_many_distinct_rows(spark, monkeypatch):
+    monkeypatch.setattr(U, "MOST_HEADS", 3)
+    rows = random_rows(11)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = {r["id"]: r["match_id"] for r in U.near_duplicates(frame, 8, first_heads=2).collect()}
+    order = sorted((r for r in rows if r["phash"]), key=lambda r: r["ord"])
+    wanted = {}
+    for i, r in enumerate(order):
+        match = next((k["id"] for k in order[:i] if near(r, k, 8) and same_context(r, k)), None)
+        if match:
+            wanted[r["id"]] = match
+    assert set(found) == set(wanted)
