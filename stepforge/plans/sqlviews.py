@@ -294,9 +294,10 @@ def verified(reasoning: str, screen: str) -> str:
 
 # which provider answers with something parseable, see adapters.responses
 RESPONSES = f"""answers_v AS (
-  SELECT doc_id AS answered_doc, CASE WHEN length({strip('answer')}) < 30 THEN NULL WHEN toxic = 0 THEN 'groq' WHEN quality = 1 THEN 'google' ELSE 'openrouter' END AS provider,
+  SELECT doc_id AS answered_doc, CASE WHEN silent OR length({strip('answer')}) < 30 THEN NULL WHEN toxic = 0 THEN 'groq' WHEN quality = 1 THEN 'google' ELSE 'openrouter' END AS provider,
     {strip('answer')} AS answer, 'Serve item ' || doc_id AS answer_intent
-  FROM (SELECT d.doc_id, toxic, quality, translate(text, '{{}}', '()') AS answer FROM documents d JOIN labels l ON d.doc_id = l.doc_id))"""
+  FROM (SELECT d.doc_id, coalesce(toxic, d.doc_id % 2) AS toxic, coalesce(quality, (d.doc_id % 5 = 0)::INT) AS quality, quality IS NULL AND d.doc_id % 3 = 0 AS silent,
+    translate(text, '{{}}', '()') AS answer FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id))"""
 
 FULL_RUN = SAMPLES + ",\n" + FACTS + ",\n" + PAGE_REGIONS + ",\n" + RESPONSES + f""",
 pre_v AS (

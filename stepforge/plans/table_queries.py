@@ -213,8 +213,9 @@ def thinking(spark, sf):
 
 
 _RAW = f"""raw_v AS (
-  SELECT d.doc_id, {V.strip("translate(text, '{}', '()')")} AS answer, toxic, quality, unnest(['groq', 'google', 'openrouter']) AS provider FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
-fit_v AS (SELECT *, CASE provider WHEN 'groq' THEN toxic = 0 WHEN 'google' THEN quality = 1 ELSE true END AS ok FROM raw_v)"""
+  SELECT d.doc_id, {V.strip("translate(text, '{}', '()')")} AS answer, coalesce(toxic, d.doc_id % 2) AS toxic, coalesce(quality, (d.doc_id % 5 = 0)::INT) AS quality, quality IS NULL AND d.doc_id % 3 = 0 AS silent,
+    unnest(['groq', 'google', 'openrouter']) AS provider FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+fit_v AS (SELECT *, NOT silent AND CASE provider WHEN 'groq' THEN toxic = 0 WHEN 'google' THEN quality = 1 ELSE true END AS ok FROM raw_v)"""
 
 
 @query("FN18", V.with_view(_RAW, "SELECT doc_id, provider, CASE WHEN ok AND length(answer) >= 30 THEN answer END AS reasoning, CASE WHEN ok AND length(answer) >= 30 THEN 'Serve item ' || doc_id END AS intent FROM fit_v"))

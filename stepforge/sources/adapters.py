@@ -135,12 +135,20 @@ def sample_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recorded annotator answers for labelled documents: (doc_id, provider, raw_response).
+    """Recorded annotator answers for every document: (doc_id, provider, raw_response).
 
     The first provider answers with fenced JSON, broken when the document is toxic;
     the second with a preamble, and only for good documents; the third always well.
+    Documents without labels get some by their number; for a third of them every
+    provider fails.
     """
-    j = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    j = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    silent = F.col("quality").isNull() & (F.col("doc_id") % 3 == 0)
+    j = (
+        j.withColumn("silent", silent)
+        .withColumn("toxic", F.coalesce("toxic", F.col("doc_id") % 2))
+        .withColumn("quality", F.coalesce("quality", (F.col("doc_id") % 5 == 0).cast("int")))
+    )
     body = F.concat(
         F.lit('{"reasoning": '), T.json_string(F.translate("text", "{}", "()")),
         F.lit(', "intent": "Serve item '), F.col("doc_id").cast("string"), F.lit('"}'),
@@ -158,7 +166,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.struct(F.lit("openrouter").alias("provider"), body.alias("raw_response")),
     )
-    return j.select("doc_id", F.explode(answers).alias("a")).select("doc_id", "a.*")
+    given = j.select("doc_id", "silent", F.explode(answers).alias("a"))
+    return given.select(
+        "doc_id", "a.provider", F.when(F.col("silent"), F.lit("no answer")).otherwise(F.col("a.raw_response")).alias("raw_response")
+    )
 
 
 def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
