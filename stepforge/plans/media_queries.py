@@ -124,20 +124,22 @@ def live_feed(spark, sf):
 
 
 @query("STR2", V.with_view(V.FULL_RUN, """
-SELECT count(DISTINCT file_sha) AS kept, (SELECT count(*) FROM gated_v WHERE failed_gate IS NULL AND path IS NULL) + count(DISTINCT file_sha) AS scored
-FROM gated_v WHERE r_schema IS NULL AND r_coords IS NULL AND path IS NOT NULL"""))
+SELECT count(*) FILTER (r_schema IS NULL AND r_coords IS NULL AND path IS NOT NULL AND dropped_doc IS NULL) AS kept,
+  count(*) FILTER (gate_status <> 'rejected') AS scored FROM gated_v"""))
 def growing_folder(spark, sf):
-    """Recordings arriving in two batches; screenshots seen in the first stay known."""
+    """Recordings arriving in two batches of two files; what was kept of the first stays known."""
     base = new_folder(spark, "incremental")
     lines = A.sample_lines(spark, sf)
-    lines.select("value", F.pmod("line_number", F.lit(4)).alias("part")).repartition(4, "part").write.partitionBy("part").text(f"{base}/in")
-    facts = materialize(
-        A.screenshot_facts(spark, sf).withColumnRenamed("file_sha", "sha256").withColumn("phash", F.lit(None).cast("string")), "facts"
-    )
+    last = lines.agg(F.max("line_number")).scalar()
+    parts = lines.withColumn("part", F.floor((c("line_number") - 1) * 4 / last).cast("int"))
+    for early in (True, False):
+        half = parts.where(c("part") < 2 if early else c("part") >= 2).repartition(2, "part").sortWithinPartitions("part", "line_number")
+        half.select("value", "part").write.mode("append").partitionBy("part").text(f"{base}/in")
+    facts = materialize(A.screenshot_facts(spark, sf).withColumnRenamed("file_sha", "sha256"), "facts")
     q = incremental.start_incremental(
         spark, f"{base}/in", f"{base}/work", facts, pattern="*.txt", files_per_batch=2, trigger={"availableNow": True}
     )
     q.awaitTermination()
-    kept = spark.read.parquet(f"{base}/work/dedup_index").agg(F.count_distinct("sha").alias("kept"))
+    kept = spark.read.parquet(f"{base}/work/dedup_index").agg(F.count(F.lit(1)).alias("kept"))
     scored = spark.read.parquet(f"{base}/work/scored").agg(F.count(F.lit(1))).scalar()
     return kept.select("kept", scored.alias("scored"))

@@ -13,7 +13,7 @@ from stepforge.storage import materialize
 
 def with_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = A.samples(spark, sf_dir)
-    facts = A.screenshot_facts(spark, sf_dir).withColumn("file_exists", F.lit(True))
+    facts = A.screenshot_facts(spark, sf_dir).drop("phash").withColumn("file_exists", F.lit(True))
     joined = samples.join(facts, samples.screenshot_path == facts.path, "left")
     return joined.withColumn("file_exists", F.coalesce("file_exists", F.lit(False)))
 

@@ -148,7 +148,7 @@ FACTS = """facts_v AS (
     CASE WHEN page_id % 13 <> 0 THEN 380 + (page_id % 9) * 40 END AS width,
     CASE WHEN page_id % 13 <> 0 THEN 280 + (page_id % 7) * 40 END AS height,
     CASE WHEN page_id % 13 <> 0 THEN (page_id % 31) * 10::DOUBLE END AS variance,
-    sha256(html) AS file_sha FROM pages)"""
+    sha256(html) AS file_sha, left(sha256('family:' || page_id // 24), 62) || printf('%02x', page_id % 24) AS phash FROM pages)"""
 
 SCHEMA_REASON = f"""CASE
     WHEN length({strip('task')}) < 5 THEN 'Task instruction too short: ''' || task || ''''
@@ -299,20 +299,43 @@ RESPONSES = f"""answers_v AS (
   FROM (SELECT d.doc_id, coalesce(toxic, d.doc_id % 2) AS toxic, coalesce(quality, (d.doc_id % 5 = 0)::INT) AS quality, quality IS NULL AND d.doc_id % 3 = 0 AS silent,
     translate(text, '{{}}', '()') AS answer FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id))"""
 
+_BITS = " + ".join(
+    f"bit_count(xor(('0x' || substr(a.phash, {1 + 8 * i}, 8))::BIGINT, ('0x' || substr(b.phash, {1 + 8 * i}, 8))::BIGINT))::INT" for i in range(8)
+)
+_TASK_WORDS = lambda t: f"list_distinct(string_split(lower({t}.task), ' '))"
+
+# the sequential scan: a row is dropped iff it matches an earlier row that was kept
+DROPPED = f"""alike_v AS (SELECT a.path AS path_a, b.path AS path_b FROM facts_v a, facts_v b WHERE {_BITS} <= {D.NEAR_DISTANCE}),
+cand_v AS (SELECT * FROM pre_v WHERE r_schema IS NULL AND r_coords IS NULL AND path IS NOT NULL),
+conflict_v AS (
+  SELECT b.doc_id AS later, a.doc_id AS earlier FROM cand_v a JOIN cand_v b ON a.file_sha = b.file_sha AND a.doc_id < b.doc_id
+  UNION SELECT b.doc_id, a.doc_id FROM cand_v a JOIN alike_v ON a.path = path_a JOIN cand_v b ON b.path = path_b AND a.doc_id < b.doc_id
+  WHERE a.action_type = b.action_type
+    AND len(list_intersect({_TASK_WORDS('a')}, {_TASK_WORDS('b')})) / len(list_distinct(list_concat({_TASK_WORDS('a')}, {_TASK_WORDS('b')})))::DOUBLE >= {D.NEAR_TASK_JACCARD}::DOUBLE
+    AND (a.action_type NOT IN {CLICKS} OR coalesce(abs(a.coordinates[1] - b.coordinates[1]) <= {D.NEAR_COORDINATE}::DOUBLE
+      AND abs(a.coordinates[2] - b.coordinates[2]) <= {D.NEAR_COORDINATE}::DOUBLE, true))),
+before_v AS (SELECT later, list(earlier) AS earlier FROM conflict_v GROUP BY later),
+node_v AS (
+  SELECT id, coalesce(earlier, []) AS earlier, row_number() OVER (ORDER BY id) AS i
+  FROM (SELECT later AS id FROM before_v UNION SELECT unnest(earlier) FROM before_v) LEFT JOIN before_v ON id = later),
+walk_v AS (
+  SELECT 0::BIGINT AS i, []::BIGINT[] AS kept
+  UNION ALL
+  SELECT n.i, CASE WHEN list_has_any(s.kept, n.earlier) THEN s.kept ELSE list_append(s.kept, n.id) END FROM walk_v s JOIN node_v n ON n.i = s.i + 1),
+dropped_v AS (SELECT id AS dropped_doc FROM node_v WHERE NOT list_contains((SELECT kept FROM walk_v ORDER BY i DESC LIMIT 1), id))"""
+
 FULL_RUN = SAMPLES + ",\n" + FACTS + ",\n" + PAGE_REGIONS + ",\n" + RESPONSES + f""",
 pre_v AS (
   SELECT s.* EXCLUDE (regions, reasoning, intent, reasoning_verified, is_error_step), f.path, f.length, f.file_sha, page_regions,
     {SCHEMA_REASON} AS r_schema, {COORD_REASON} AS r_coords, {IMAGE_REASON} AS r_image
   FROM samples_v s LEFT JOIN facts_v f ON s.screenshot_path = f.path LEFT JOIN page_regions_v ON path = region_path),
-firsts_v AS (
-  SELECT file_sha AS first_sha, min(doc_id) AS first_doc FROM pre_v
-  WHERE r_schema IS NULL AND r_coords IS NULL AND path IS NOT NULL GROUP BY 1),
+""" + DROPPED + f""",
 gated_v AS (
   SELECT *, CASE WHEN r_schema IS NOT NULL THEN 'schema' WHEN r_coords IS NOT NULL THEN 'coordinates'
-      WHEN first_doc <> doc_id THEN 'dedup' END AS failed_gate,
-    CASE WHEN r_schema IS NOT NULL OR r_coords IS NOT NULL OR first_doc <> doc_id THEN 'rejected'
+      WHEN dropped_doc IS NOT NULL THEN 'dedup' END AS failed_gate,
+    CASE WHEN r_schema IS NOT NULL OR r_coords IS NOT NULL OR dropped_doc IS NOT NULL THEN 'rejected'
       WHEN r_image IS NOT NULL THEN 'quarantined' ELSE 'enriching' END AS gate_status
-  FROM pre_v LEFT JOIN firsts_v ON file_sha = first_sha),
+  FROM pre_v LEFT JOIN dropped_v ON doc_id = dropped_doc),
 cleaned_v AS (
   SELECT *, len(cleaned) AS n_regions,
     CASE WHEN len(cleaned) > 0 THEN array_to_string(list_transform(cleaned, lambda r: {strip('r.text')}), ' ') ELSE ocr_text_raw END AS all_text,
@@ -330,4 +353,4 @@ enriched_v AS (
 
 
 def with_view(view: str, body: str) -> str:
-    return f"WITH {view}\n{body}"
+    return f"WITH RECURSIVE {view}\n{body}"

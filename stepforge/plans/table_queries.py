@@ -516,7 +516,7 @@ def lineage_load(spark, sf):
 
 def full_run(spark, sf, options=E.RunOptions()):
     lines = materialize(A.sample_lines(spark, sf), "lines")
-    facts = A.screenshot_facts(spark, sf).withColumnRenamed("file_sha", "sha256").withColumn("phash", F.lit(None).cast("string"))
+    facts = A.screenshot_facts(spark, sf).withColumnRenamed("file_sha", "sha256")
     ids = A.responses(spark, sf).withColumn("sample_id", Z.sample_id(F.lit("recordings.jsonl"), c("doc_id") + 1)).drop("doc_id")
     return E.process(lines, facts, A.page_regions(spark, sf), options, ids)
 

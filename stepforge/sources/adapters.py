@@ -289,7 +289,10 @@ def screenshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def screenshot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The listing with dimensions and variance as an image decoder would report them."""
+    """The listing with dimensions and variance as an image decoder would report them.
+
+    Twenty-four neighbouring pages look alike: their hashes differ in at most five bits.
+    """
     p = table(spark, sf_dir, "pages")
     page = F.col("page_id")
     readable = page % 13 != 0
@@ -300,6 +303,10 @@ def screenshot_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(readable, (280 + (page % 7) * 40).cast("int")).alias("height"),
         F.when(readable, (page % 31) * 10.0).alias("variance"),
         F.sha2("html", 256).alias("file_sha"),
+        F.concat(
+            F.substring(F.sha2(F.concat(F.lit("family:"), F.floor(page / 24).cast("string")), 256), 1, 62),
+            F.lpad(F.lower(F.hex(page % 24)), 2, "0"),
+        ).alias("phash"),
     )
 
 
