@@ -10,8 +10,9 @@ Two documents link when 100 * |A & B| >= percent * |A | B| of their shingle sets
    two points bound the overlap by the sum of their coordinate minima, and so do the upper
    corners of two boxes of an R-tree.  Pairs bounded below the threshold are left out;
    the sets themselves are fetched and compared for the surviving pairs only.
-4. In a block every class is first compared with the block's smallest class.  The links
-   found so far are closed to components; blocks inside one component are done.
+4. To be done with most blocks early, the classes of every ``STAR_KEYS``-th block are
+   compared with the block's smallest class.  The links found so far are closed to
+   components; blocks inside one component are done.
 5. The other blocks' points are loaded into R-trees.  A walk over pairs of nodes skips
    pairs that are bounded below the threshold and pairs inside one component.
 
@@ -46,6 +47,7 @@ COMMON_CHUNK = 1 << 22  # shingles among which a task looks for common ones
 COMMON_HINTS = 1 << 17  # common shingles placed last; only the order depends on it
 BLOCK_ENTRIES = 500_000
 SALT_ROWS = 1 << 16
+STAR_KEYS = 4  # every so manieth shingle serves the first comparison; all serve the last
 
 
 def _sets(part: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -237,6 +239,7 @@ def _blocks(group: pa.Table) -> pa.Table:
     kinds, blocks, lists = [], [], []
     at = _runs(keys) if len(keys) else np.zeros(1, np.int64)
     sizes = np.diff(at)
+    starred = arrays.mix(keys[at[:-1]].view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(STAR_KEYS) == 0
     shared = np.flatnonzero((sizes > 1) | (keys[at[:-1]] < 0))  # a common key may have its partners in other parts
     stars: dict[int, list[np.ndarray]] = {}
     seen: set[bytes] = set()
@@ -248,7 +251,7 @@ def _blocks(group: pa.Table) -> pa.Table:
             if raw in seen:
                 continue
             seen.add(raw)
-        if len(members) > 1:
+        if len(members) > 1 and starred[i]:
             stars.setdefault(int(members[0]), []).append(members[1:])
         for a in range(0, len(members), CHUNK):
             kinds.append(1)
