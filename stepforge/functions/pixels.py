@@ -80,7 +80,10 @@ def pixel_variance(height: pd.Series, width: pd.Series, channels: pd.Series, dat
     def one(h, w, c, d):
         if d is None:
             return None
-        return float(_rgb(int(h), int(w), int(c), d).astype(np.float64).var())
+        try:
+            return float(_rgb(int(h), int(w), int(c), d).astype(np.float64).var())
+        except ValueError:  # a malformed buffer
+            return None
 
     return pd.Series([one(*row) for row in zip(height, width, channels, data)], dtype="float64")
 

@@ -35,14 +35,16 @@ def lookup_cache(samples: DataFrame, cache: DataFrame) -> DataFrame:
 
     The key holds the file digest, which after duplicate removal is nearly unique,
     so the join is balanced; a small cache is broadcast by Catalyst on its size.
-    Samples without a digest never hit.
+    Samples without a digest never hit; they are spread by id over the tasks.
     """
-    hit = cache.select("cache_key", F.struct(*ANNOTATION_COLUMNS).alias("cached"))
+    hit = cache.select(F.col("cache_key").alias("_key"), F.struct(*ANNOTATION_COLUMNS).alias("cached"))
     key = F.when(
         F.coalesce("sha256", F.lit("")) != "",
         cache_key(F.col("sha256"), F.col("action_type"), F.col("task")),
     )
-    return samples.withColumn("cache_key", key).join(hit, "cache_key", "left")
+    spread = F.coalesce("cache_key", F.concat(F.lit("\u0000"), F.col("sample_id")))
+    keyed = samples.withColumn("cache_key", key).withColumn("_key", spread)
+    return keyed.join(hit, "_key", "left").drop("_key")
 
 
 def annotation_requests(samples: DataFrame, agent: str = D.AGENT_NAME) -> DataFrame:

@@ -14,10 +14,10 @@ from stepforge.functions import regions as R
 from stepforge.functions import text as T
 
 
-def sample_id(source_file: Column, line_number: Column) -> Column:
+def sample_id(source_file: Column, line_number: Column, prefix: str = "s_") -> Column:
     """Deterministic id: the same line of the same file is the same sample."""
     origin = F.concat(source_file, F.lit(":"), line_number.cast("string"))
-    return F.concat(F.lit("vn_"), F.substring(F.sha2(origin, 256), 1, 16))
+    return F.concat(F.lit(prefix), F.substring(F.sha2(origin, 256), 1, 16))
 
 
 def normalize_recorded(parsed: DataFrame, source_type: str = "human_demo") -> DataFrame:

@@ -76,10 +76,10 @@ def changed(spark, sf):
 
 
 @query("X8_runs", """
-SELECT 'vn_' || doc_id AS sample_id, string_agg(run_id, ',' ORDER BY run_id) AS runs FROM (
+SELECT 's_' || doc_id AS sample_id, string_agg(run_id, ',' ORDER BY run_id) AS runs FROM (
   SELECT doc_id, 'run_' || lang AS run_id FROM documents UNION SELECT doc_id, 'run_labelled' FROM labels) GROUP BY doc_id""")
 def used_by(spark, sf):
-    sample = F.concat(F.lit("vn_"), F.col("doc_id").cast("string")).alias("sample_id")
+    sample = F.concat(F.lit("s_"), F.col("doc_id").cast("string")).alias("sample_id")
     by_lang = A.table(spark, sf, "documents").select(sample, F.concat(F.lit("run_"), "lang").alias("run_id"))
     labelled = A.table(spark, sf, "labels").select(sample, F.lit("run_labelled").alias("run_id"))
     runs = audit.runs_of(by_lang.unionByName(labelled).where("run_id is not null"))

@@ -185,7 +185,7 @@ def step_tags(spark, sf):
 
 
 @query("NRM3", V.with_view(V.STEPS, """
-SELECT event_id, 'vn_' || substr(sha256('session_' || session_id || '.jsonl:' || (event_id + 1)), 1, 16) AS sample_id FROM steps_v"""))
+SELECT event_id, 's_' || substr(sha256('session_' || session_id || '.jsonl:' || (event_id + 1)), 1, 16) AS sample_id FROM steps_v"""))
 def ids(spark, sf):
     from stepforge.operators.normalize import sample_id
 

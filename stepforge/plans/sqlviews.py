@@ -78,7 +78,7 @@ report_v AS (
   FROM counted_v c LEFT JOIN diverse_v USING (session_id))"""
 
 SAMPLES = f"""samples_v AS (
-  SELECT doc_id, 'vn_' || doc_id AS sample_id, source AS session_id, (doc_id % 20)::INT AS step_index,
+  SELECT doc_id, 's_' || doc_id AS sample_id, source AS session_id, (doc_id % 20)::INT AS step_index,
     'human_demo' AS source_type, {strings(TASKS)}[((doc_id // 3) % 8 + 1)::INT] AS task, action_type, n_chars,
     text AS document, quality, toxic, lang AS doc_lang,
     CASE WHEN action_type IN {CLICKS} AND doc_id % 16 <> 0
@@ -180,7 +180,7 @@ gated_v AS (
     CASE WHEN r_schema IS NULL AND r_coords IS NULL AND r_image IS NOT NULL THEN ['image: ' || r_image] ELSE [] END AS warnings,
     CASE WHEN r_schema IS NOT NULL OR r_coords IS NOT NULL OR original_id IS NOT NULL THEN 'rejected'
       WHEN r_image IS NOT NULL THEN 'quarantined' ELSE 'enriching' END AS gate_status
-  FROM (SELECT *, CASE WHEN path IS NOT NULL AND first_doc <> doc_id THEN 'vn_' || first_doc END AS original_id
+  FROM (SELECT *, CASE WHEN path IS NOT NULL AND first_doc <> doc_id THEN 's_' || first_doc END AS original_id
     FROM pre_v LEFT JOIN firsts_v ON sha256 = first_sha))"""
 
 ENRICHED = GATED + f""",

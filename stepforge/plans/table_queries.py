@@ -132,15 +132,15 @@ def cache_lookup(spark, sf):
 
 
 def _responses(spark, sf):
-    return A.responses(spark, sf).withColumn("sample_id", F.concat(F.lit("vn_"), c("doc_id").cast("string"))).drop("doc_id")
+    return A.responses(spark, sf).withColumn("sample_id", F.concat(F.lit("s_"), c("doc_id").cast("string"))).drop("doc_id")
 
 
-@query("WIN5", "WITH " + V.RESPONSES + " SELECT 'vn_' || answered_doc AS sample_id, provider, answer AS llm_reasoning, answer_intent AS llm_intent FROM answers_v WHERE provider IS NOT NULL")
+@query("WIN5", "WITH " + V.RESPONSES + " SELECT 's_' || answered_doc AS sample_id, provider, answer AS llm_reasoning, answer_intent AS llm_intent FROM answers_v WHERE provider IS NOT NULL")
 def provider_choice(spark, sf):
     return O.choose_response(_responses(spark, sf))
 
 
-@query("UDF4", "WITH " + V.RESPONSES + " SELECT 'vn_' || answered_doc AS sample_id, provider FROM answers_v WHERE provider IS NOT NULL")
+@query("UDF4", "WITH " + V.RESPONSES + " SELECT 's_' || answered_doc AS sample_id, provider FROM answers_v WHERE provider IS NOT NULL")
 def annotator_plugin(spark, sf):
     """A user function in the place of the annotator, run over batches of requests."""
     def echo(batches):
@@ -318,7 +318,7 @@ def registry_scan(spark, sf):
 
 def _second_batch(spark, sf, registry):
     """New versions of the labelled samples."""
-    labels = A.table(spark, sf, "labels").select(F.concat(F.lit("vn_"), c("doc_id").cast("string")).alias("sample_id"))
+    labels = A.table(spark, sf, "labels").select(F.concat(F.lit("s_"), c("doc_id").cast("string")).alias("sample_id"))
     return registry.join(labels, "sample_id", "left_semi").withColumn("status", F.lit("exported")).withColumn("updated_at", F.lit("2025"))
 
 
@@ -421,15 +421,15 @@ def registry_top(spark, sf):
 
 @query("JOIN6", V.with_view(_REGISTRY, "SELECT sample_id FROM registry_v WHERE doc_id IN (SELECT doc_id FROM labels)"))
 def contamination(spark, sf):
-    test = A.table(spark, sf, "labels").select(F.concat(F.lit("vn_"), c("doc_id").cast("string")).alias("sample_id"))
+    test = A.table(spark, sf, "labels").select(F.concat(F.lit("s_"), c("doc_id").cast("string")).alias("sample_id"))
     return R.contaminated(_registry(spark, sf), test)
 
 
 @query("JOIN7", """
-SELECT 'vn_' || doc_id AS sample_id, 'run1' AS run_id FROM labels UNION SELECT 'vn_' || doc_id, 'run2' FROM documents UNION SELECT 'vn_' || doc_id, 'run1' FROM labels""")
+SELECT 's_' || doc_id AS sample_id, 'run1' AS run_id FROM labels UNION SELECT 's_' || doc_id, 'run2' FROM documents UNION SELECT 's_' || doc_id, 'run1' FROM labels""")
 def membership(spark, sf):
     """Run 1 recorded twice, run 2 once: no pair appears twice."""
-    named = lambda df: df.select(F.concat(F.lit("vn_"), c("doc_id").cast("string")).alias("sample_id"))
+    named = lambda df: df.select(F.concat(F.lit("s_"), c("doc_id").cast("string")).alias("sample_id"))
     first = named(A.table(spark, sf, "labels"))
     table = L.add_membership(first.withColumn("run_id", F.lit("run1")), first, "run1")
     return L.add_membership(table, named(A.table(spark, sf, "documents")), "run2")
@@ -500,12 +500,12 @@ def assembled(spark, sf):
 
 
 @query("LIN2", V.with_view(V.STEPS, """
-SELECT 'vn_' || user_id AS sample_id, max(event_id)::BIGINT AS source_line, 'unknown' AS collector_id FROM steps_v WHERE k % 29 <> 0 GROUP BY 1"""))
+SELECT 's_' || user_id AS sample_id, max(event_id)::BIGINT AS source_line, 'unknown' AS collector_id FROM steps_v WHERE k % 29 <> 0 GROUP BY 1"""))
 def lineage_load(spark, sf):
     """Lineage lines with broken ones among them; the last line of an id wins."""
     s = A.steps(spark, sf)
     value = F.when(c("k") % 29 == 0, F.lit("{broken")).otherwise(
-        F.to_json(F.struct(F.concat(F.lit("vn_"), c("user_id").cast("string")).alias("sample_id"), F.lit("f.jsonl").alias("source_file"), c("event_id").alias("source_line")))
+        F.to_json(F.struct(F.concat(F.lit("s_"), c("user_id").cast("string")).alias("sample_id"), F.lit("f.jsonl").alias("source_file"), c("event_id").alias("source_line")))
     )
     lines = s.select(value.alias("value"), F.lit("lineage.jsonl").alias("source_file"), c("event_id").alias("line_number"))
     return L.read_lineage_lines(lines).select("sample_id", c("source_line").cast("long").alias("source_line"), "collector_id")
@@ -536,7 +536,7 @@ def factory(spark, sf):
 
 
 @query("E2E1_samples", V.with_view(V.FULL_RUN, """
-SELECT 'vn_' || substr(sha256('recordings.jsonl:' || (doc_id + 1)), 1, 16) AS sample_id, composite, approved, training_stage, language, array_to_string(tags, ',') AS tags, n_regions::INT AS n_regions FROM routed_v"""))
+SELECT 's_' || substr(sha256('recordings.jsonl:' || (doc_id + 1)), 1, 16) AS sample_id, composite, approved, training_stage, language, array_to_string(tags, ',') AS tags, n_regions::INT AS n_regions FROM routed_v"""))
 def factory_samples(spark, sf):
     return full_run(spark, sf).scored.select(
         "sample_id", "composite", "approved", "training_stage", "language", F.array_join("tags", ",").alias("tags"), "n_regions"

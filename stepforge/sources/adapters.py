@@ -240,7 +240,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         j.select(
             "doc_id",
-            F.concat(F.lit("vn_"), F.col("doc_id").cast("string")).alias("sample_id"),
+            F.concat(F.lit("s_"), F.col("doc_id").cast("string")).alias("sample_id"),
             F.col("source").alias("session_id"),
             (F.col("doc_id") % 20).cast("int").alias("step_index"),
             F.lit("human_demo").alias("source_type"),

@@ -74,9 +74,14 @@ def image_facts(files: DataFrame, pixels: DataFrame | None) -> DataFrame:
 
 
 def with_screenshot(samples: DataFrame, facts: DataFrame, path_column: str = "screenshot_path") -> DataFrame:
-    """Left join on the normalised path; ``file_exists`` tells whether it matched."""
+    """Left join on the normalised path; ``file_exists`` tells whether it matched.
+
+    Samples without a path match nothing; they are spread by their other columns, so
+    that they do not meet in one task.
+    """
     listing = facts.withColumnRenamed("path", "file_path").withColumn("file_exists", F.lit(True))
-    joined = samples.join(
-        listing, clean_path(F.col(path_column)) == F.col("file_path"), "left"
-    )
-    return joined.withColumn("file_exists", F.coalesce("file_exists", F.lit(False))).drop("file_path")
+    path = clean_path(F.col(path_column))
+    nowhere = F.concat(F.lit("\u0000"), F.xxhash64(*[c for c, kind in samples.dtypes if "map<" not in kind and kind != "variant"]).cast("string"))
+    keyed = samples.withColumn("_path", F.when(F.coalesce(path, F.lit("")) == "", nowhere).otherwise(path))
+    joined = keyed.join(listing, F.col("_path") == F.col("file_path"), "left")
+    return joined.withColumn("file_exists", F.coalesce("file_exists", F.lit(False))).drop("file_path", "_path")

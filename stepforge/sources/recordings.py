@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import bz2
+import zlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +18,40 @@ LINE_KEYS = ("step_index", "task", "action", "screenshot_path", "ocr_text", "tim
 SCREEN_KEYS = ("screen_width", "screen_height")
 
 
+COMPRESSED = (".gz", ".bz2")
+
+
+def _damage(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        bad = []
+        for path, content in zip(frame["path"], frame["content"]):
+            stream = zlib.decompressobj(31) if path.endswith(".gz") else bz2.BZ2Decompressor()
+            try:
+                for at in range(0, len(content), 1 << 20):
+                    stream.decompress(content[at : at + (1 << 20)])
+                whole = stream.eof
+            except (zlib.error, OSError, EOFError):
+                whole = False
+            if not whole:
+                bad.append(path)
+        yield pd.DataFrame({"source_file": pd.Series(bad, dtype="object")})
+
+
+def unreadable_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(source_file) of the compressed files whose stream is damaged or cut.
+
+    Plain text can't be damaged in this sense, and is not looked at.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*{" + ",".join(COMPRESSED) + "}")
+        .option("recursiveFileLookup", str(recursive).lower())
+        .load(path)
+        .select("path", "content")
+    )
+    return files.mapInPandas(_damage, "source_file string")
+
+
 def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl",
                recursive: bool = False) -> DataFrame:
     """Physical lines with provenance: value, source_file, line_number (1-based).
@@ -22,6 +61,9 @@ def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl",
     number is its offset in the split plus the lines in earlier splits of the
     file.  The split counts (one row per split) are written out once; the join
     then has exact sizes to choose its strategy from.
+
+    Of a damaged compressed file the readable lines come, and a line 0 with a value
+    that is no JSON, so that the loss is counted as a failure and can be found.
     """
     lines = (
         spark.read.option("pathGlobFilter", pattern)
@@ -44,14 +86,17 @@ def scan_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl",
         .withColumn("earlier", F.coalesce(F.sum("n_lines").over(before), F.lit(0)))
         .select("source_file", "split_start", "first_row", "earlier")
     )
-    return (
-        lines.join(materialize(splits, "splits"), ["source_file", "split_start"])
-        .select(
-            "value",
-            "source_file",
-            (F.col("row_id") - F.col("first_row") + F.col("earlier") + 1).alias("line_number"),
-        )
+    numbered = lines.join(materialize(splits, "splits"), ["source_file", "split_start"]).select(
+        "value",
+        "source_file",
+        (F.col("row_id") - F.col("first_row") + F.col("earlier") + 1).alias("line_number"),
+    )
+    if not pattern.endswith((*COMPRESSED, "*")):
+        return numbered
+    lost = unreadable_files(spark, path, recursive).select(
+        F.lit("{unreadable file").alias("value"), "source_file", F.lit(0).cast("long").alias("line_number")
     )
+    return numbered.unionByName(lost)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
