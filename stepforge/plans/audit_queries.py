@@ -10,6 +10,7 @@ from stepforge.plans import shared
 from stepforge.plans import sqlviews as V
 from stepforge.plans.catalog import query
 from stepforge.sources import adapters as A
+from stepforge.sources import recordings
 from stepforge.storage import new_folder
 
 _FLAGS = ", ".join(
@@ -153,3 +154,22 @@ def strict_images(spark, sf):
     """The screenshots at twice their resolution, so that some pass."""
     rows = shared.with_facts(spark, sf).withColumns({"width": 2 * F.col("width"), "height": 2 * F.col("height"), "length": 4 * F.col("length")})
     return rows.select("sample_id", audit.strict_image(F.size("regions")).alias("reason"))
+
+
+@query("SRC6", V.with_view(V.SAMPLES, """
+SELECT screenshot_path AS image_path, task, step_index + 1 AS total_steps, length(reasoning) AS reasoning_chars, action_type, coordinates[1] AS x, "key", description FROM samples_v"""))
+def annotation_files(spark, sf):
+    """Samples written as files of up to 500 annotation documents, read back."""
+    path = new_folder(spark, "annotations")
+    action = F.struct(F.col("action_type").alias("type"), "coordinates", "text", "key", "description").alias("action")
+    document = F.to_json(
+        F.struct(F.col("screenshot_path").alias("image_path"), F.col("task").alias("task_instruction"),
+                 (F.col("step_index") + 1).alias("total_steps"), "reasoning", action)
+    )
+    files = A.samples(spark, sf).groupBy(F.floor(F.col("doc_id") / 500).alias("file")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(document), ",\n"), F.lit("\n]")).alias("value")
+    )
+    files.write.partitionBy("file").text(path)
+    read = recordings.read_annotation_documents(spark, path, "*.txt")
+    return read.select("image_path", "task", "total_steps", F.length("reasoning").cast("long").alias("reasoning_chars"),
+                       "action_type", F.get("coordinates", 0).alias("x"), "key", "description")

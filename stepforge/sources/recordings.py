@@ -166,8 +166,8 @@ def raw_coordinates(data: Column) -> list[Column]:
     ]
 
 
-def read_annotation_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per file (the older annotation layout)."""
+def read_annotation_documents(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Files of one JSON document, or an array of documents, each (the older annotation layout)."""
     schema = (
         "image_path string, task_instruction string, total_steps int, reasoning string, "
         "action struct<type:string,coordinates:array<double>,text:string,key:string,description:string>"
@@ -175,7 +175,7 @@ def read_annotation_documents(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("multiLine", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .json(path)
         .select(
             F.coalesce("image_path", F.lit("")).alias("image_path"),
