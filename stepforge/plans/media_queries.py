@@ -51,7 +51,27 @@ def compared(spark, sf):
     return S.compare(S.frame_pairs(placed(spark, sf)))
 
 
-@query("IMG2")
+_SINC = lambda x: f"CASE WHEN {x} = 0 THEN 1 ELSE sin(pi() * {x}) / (pi() * {x}) END"
+
+# The hash of an 8x8 frame: grey, windowed-sinc resampling to 64x64 in two rounded steps, the 16x16 lowest
+# frequencies of the cosine transform, bits against their median.
+_HASHED = _GREY + f""",
+grey_v AS (SELECT vec_id, i // 8 AS y, i % 8 AS x, (19595 * s + 38470 * h + 7471 * g + 32768) >> 16 AS v FROM frames_v),
+weight_v AS (
+  SELECT t, j, w / sum(w) OVER (PARTITION BY t) AS w FROM (
+    SELECT t, j, CASE WHEN abs(d) < 3 THEN ({_SINC('d')}) * ({_SINC('(d / 3)')}) ELSE 0 END AS w FROM (
+      SELECT t, j, (j + 0.5::DOUBLE) - (t + 0.5::DOUBLE) / 8 AS d FROM (SELECT unnest(range(64)) AS t), (SELECT unnest(range(8)) AS j)))),
+wave_v AS (SELECT k, n, 2 * cos(pi() * k * (2 * n + 1) / 128) AS c FROM (SELECT unnest(range(16)) AS k), (SELECT unnest(range(64)) AS n)),
+across_v AS (SELECT vec_id, y, t, greatest(0, least(255, round_even(sum(v * w), 0))) AS v FROM grey_v JOIN weight_v ON x = j GROUP BY ALL),
+small_v AS (SELECT vec_id, w.t AS u, a.t, greatest(0, least(255, round_even(sum(v * w), 0))) AS v FROM across_v a JOIN weight_v w ON y = j GROUP BY ALL),
+half_v AS (SELECT vec_id, k, t, sum(v * c) AS v FROM small_v JOIN wave_v ON u = n GROUP BY ALL),
+low_v AS (SELECT vec_id, h.k, c.k AS l, sum(v * c) AS v FROM half_v h JOIN wave_v c ON t = n GROUP BY ALL),
+bit_v AS (SELECT vec_id, k * 16 + l AS i, (v > median(v) OVER (PARTITION BY vec_id))::INT AS b FROM low_v)"""
+
+
+@query("IMG2", V.with_view(_HASHED, """
+SELECT vec_id, string_agg(digit, '' ORDER BY place) AS phash FROM (
+  SELECT vec_id, i // 4 AS place, printf('%x', sum(b << (3 - i % 4)::INT)::INT) AS digit FROM bit_v GROUP BY ALL) GROUP BY vec_id"""))
 def hashes(spark, sf):
     return A.frames(spark, sf).select("vec_id", X.perceptual_hash("height", "width", "channels", "data").alias("phash"))
 
