@@ -268,11 +268,12 @@ def eligibility(spark, sf):
 
 
 @query("VAL6", """
-SELECT conv_id, CASE WHEN n < 2 THEN 'Need >= 2 turns' WHEN conv_id % 5 = 0 THEN 'Need >= 1 image' END AS error
+SELECT conv_id, CASE WHEN conv_id % 7 = 3 THEN 'Missing conversations' WHEN conv_id % 11 = 4 THEN 'Missing images' WHEN n < 2 THEN 'Need >= 2 turns' WHEN conv_id % 5 = 0 THEN 'Need >= 1 image' END AS error
 FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1)""")
 def structure(spark, sf):
     return A.conversation_sizes(spark, sf).select(
-        "conv_id", X.structure_error_of(F.lit(True), c("n_turns"), F.lit(True), c("n_images")).alias("error")
+        "conv_id",
+        X.structure_error_of(c("conv_id") % 7 != 3, c("n_turns"), c("conv_id") % 11 != 4, c("n_images")).alias("error"),
     )
 
 
@@ -613,10 +614,17 @@ def example_sink(spark, sf):
     )
 
 
-@query("SRC8", EXAMPLES_SQL + "SELECT count(*) AS total, 0::BIGINT AS errors FROM lines_of_v")
+@query("SRC8", EXAMPLES_SQL + """
+SELECT (SELECT count(*) FROM lines_of_v) + count(*) AS total, count(*) AS errors FROM documents WHERE doc_id % 10 < 4""")
 def example_scan(spark, sf):
+    """Good examples and four kinds of bad lines, one for every document that ends in 0 to 3."""
     path = new_folder(spark, "examples")
     X.build_examples(shared.scored_table(spark, sf)).select("line").write.text(path)
+    turn = '{"from": "human", "value": "x"}'
+    kinds = ['{"conversations": [', '{"images": ["a.png"]}', '{"conversations": [%s], "images": ["a.png"]}' % turn,
+             '{"conversations": [%s, %s], "images": []}' % (turn, turn)]
+    bad = F.element_at(F.array(*[F.lit(k) for k in kinds]), (c("doc_id") % 10 + 1).cast("int"))
+    A.table(spark, sf, "documents").where("doc_id % 10 < 4").select(bad.alias("line")).write.mode("append").text(path)
     read = spark.read.schema(C.EXAMPLE_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt").json(path)
     return X.check_examples(read)
 
