@@ -9,11 +9,15 @@ leave the folder unnamed; it then gets one of its own.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: str | None = None
+_made = threading.local()  # .paths: folders this thread has named, in order, inside ``temporary``
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +36,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, unique path below the shared folder."""
-    return f"{shared_folder(spark)}/stepforge/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stepforge/{label}-{uuid.uuid4().hex}"
+    if getattr(_made, "paths", None) is not None:
+        _made.paths.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are written to the shared folder inside the block.
+
+    Whatever is needed later must have been written elsewhere before the block ends.
+    Tables of other threads are not touched.
+    """
+    outer, _made.paths = getattr(_made, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _made.paths:
+            remove_folder(spark, path)
+        _made.paths = outer
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stepforge.operators import dedup
 from stepforge.plans.factory_run import RunOptions, RunTables, process
 from stepforge.sources.recordings import scan_lines
-from stepforge.storage import exists
+from stepforge.storage import exists, temporary
 
 FILES_PER_BATCH = 1000
 
@@ -49,15 +49,16 @@ def start_incremental(spark: SparkSession, recordings_dir: str, work_dir: str, f
             if "batch_id" in stored.columns:
                 stored = stored.where(F.coalesce(F.col("batch_id").cast("long"), F.lit(-1)) < batch_id).drop("batch_id")
             index = dedup.migrate_index(stored)
-        tables = process(
-            scan_lines(spark, paths, pattern), facts, regions, options, responses, None, index
-        )
-        tables.scored.write.mode("overwrite").parquet(f"{work_dir}/scored/batch_id={batch_id}")
-        dedup.index_rows(tables.kept).write.mode("overwrite").parquet(
-            f"{work_dir}/dedup_index/batch_id={batch_id}"
-        )
-        if on_batch:
-            on_batch(tables, batch_id)
+        with temporary(spark):
+            tables = process(
+                scan_lines(spark, paths, pattern), facts, regions, options, responses, None, index
+            )
+            tables.scored.write.mode("overwrite").parquet(f"{work_dir}/scored/batch_id={batch_id}")
+            dedup.index_rows(tables.kept).write.mode("overwrite").parquet(
+                f"{work_dir}/dedup_index/batch_id={batch_id}"
+            )
+            if on_batch:
+                on_batch(tables, batch_id)
 
     return (
         files.writeStream.option("checkpointLocation", f"{work_dir}/stream_checkpoint")

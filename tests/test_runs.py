@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stepforge.operators import lineage, registry
 from stepforge.sources import recordings
-from stepforge.storage import Written, exists
+from stepforge.storage import Written, exists, temporary
 from stepforge.streaming import feed
 
 ROW = "sample_id string, status string, updated_at string, dataset_version string"
@@ -88,3 +88,11 @@ def test_spent_tables_can_be_dropped(spark):
     assert table.table.count() == 3 and exists(spark, table.path)
     table.drop()
     assert not exists(spark, table.path)
+
+
+def test_temporary_tables_go_and_others_stay(spark):
+    stays = Written(spark.range(2), "stays")
+    with temporary(spark):
+        goes = Written(spark.range(2), "goes")
+        assert exists(spark, goes.path)
+    assert not exists(spark, goes.path) and exists(spark, stays.path)
