@@ -31,7 +31,7 @@ FIRST_HEADS = 128
 MORE_HEADS = 8
 MOST_HEADS = 1000  # Spark prunes a rank up to spark.sql.optimizer.windowGroupLimitThreshold before its shuffle
 BUCKET_ROWS = 100_000
-ROUNDS = 2  # of simple decisions, before what is still open is folded by components
+ROUNDS = 3  # of simple decisions, before what is still open is folded by components
 FOLD_ROWS = 200_000
 
 
@@ -335,7 +335,7 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
 
     A row is dropped iff it matches an earlier *kept* row by file digest or as a
     near duplicate.  Decisions are taken in rounds: a row whose buckets show no
-    earlier undecided match is kept, the rows matching it are dropped.  What two
+    earlier undecided match is kept, the rows matching it are dropped.  What ``ROUNDS``
     rounds leave open (chains of rows each near the next) is decided component by
     component in one fold along the order; only components of more than
     ``FOLD_ROWS`` rows go on in rounds.
@@ -383,7 +383,7 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
         turn = 0
         while True:
             turn += 1
-            if turn == ROUNDS + 1:
+            if turn == ROUNDS + 1 and not edges.isEmpty():
                 left = open_ids if decided is None else open_ids.join(decided, "id", "left_anti")
                 folded = materialize(_folded(edges, left, undecided.select("id", "ord")), "verdicts")
                 losers = folded.where("duplicate_of is not null")
