@@ -42,7 +42,8 @@ def gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = rows.where(
         ~gate.schema_failed() & ~gate.coordinate_failed() & F.col("file_exists")
     ).select(F.col("sample_id").alias("id"), F.col("doc_id").alias("ord"), F.col("sha256").alias("sha"))
-    originals = dedup.exact_duplicates(candidates).withColumnRenamed("id", "sample_id")
+    # narrow and used several times: written once
+    originals = dedup.exact_duplicates(materialize(candidates, "candidates")).withColumnRenamed("id", "sample_id")
     return standard_gate().run(rows.join(originals, "sample_id", "left"))
 
 
