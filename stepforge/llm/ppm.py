@@ -151,6 +151,7 @@ class Trie:
     kinds: list[np.ndarray]  # D of a context
     after_whole: list[np.ndarray]  # of the next shorter context, without this one's symbols: T
     after_kinds: list[np.ndarray]  # ... and D
+    first: np.ndarray  # log10 probability of each entry of the longest contexts, where most bytes end
 
     @staticmethod
     def build(order: int, keys: list[np.ndarray], counts: list[np.ndarray]) -> Trie:
@@ -173,13 +174,16 @@ class Trie:
             else:
                 after_kinds.append(np.zeros(len(at)))
                 after_whole.append(np.zeros(len(at)))
-        return Trie(order, keys, counts, nodes, whole, kinds, after_whole, after_kinds)
+        each = whole[order][np.searchsorted(nodes[order], keys[order] >> np.uint64(8))] if len(keys[order]) else np.zeros(0)
+        first = np.log10((counts[order] - 0.5) / each)
+        return Trie(order, keys, counts, nodes, whole, kinds, after_whole, after_kinds, first)
 
     def logs(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the last byte of each key after its context."""
-        out = np.zeros(len(keys))
-        todo = np.arange(len(keys))
-        came = np.full(len(keys), -1)  # node of the next longer context that was escaped from
+        entry, hit = _find(self.keys[self.order], keys)
+        out = np.where(hit, _take(self.first, entry), 0.0)
+        todo = np.flatnonzero(~hit)
+        came = np.full(len(todo), -1)  # node of the next longer context that was escaped from
         for k in range(self.order, -1, -1):
             own = keys[todo] & np.uint64((1 << (8 * (k + 1))) - 1)
             node, known = _find(self.nodes[k], own >> np.uint64(8))
