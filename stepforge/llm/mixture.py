@@ -11,7 +11,7 @@ budget covers them, then the longest prefix of the next epoch that fits.  The ru
 sum is taken in two steps, over slots of the order and within a slot, so no task holds
 a whole leaf.
 
-Defined results: a null text has no tokens; null languages or sources are named
+Defined results: a null text has no tokens; a leaf without tokens gives no documents; null languages or sources are named
 ``(none)``; rows equal in id and text are one document; a null id sorts as ``null``;
 ties in the order are settled by id and tokens; an empty table gives an empty table;
 extra columns are kept by ``select`` and ignored by ``choose``.
