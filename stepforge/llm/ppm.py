@@ -4,9 +4,10 @@ A text is read as its words (A-Z lower-cased), one blank after each and a line e
 the last; a document starts in a context of line ends.  Training counts every byte
 with its ``ORDER`` bytes of context over all documents; shorter contexts are sums of
 longer ones, so the counts form a trie in which a symbol seen after a context was also
-seen after every shorter one.  The trie may hold ``MAX_ENTRIES`` entries (the model's
-stated capacity, bounded for the broadcast): the least count that fits is found from
-the counts themselves, and entries below it are left to shorter contexts.
+seen after every shorter one.  The model is the whole trie, whatever its size.  The most
+frequent entries, at most ``MAX_ENTRIES``, are broadcast; if that is not all, the bytes
+they do not settle are looked up by a join: their distinct keys meet the whole trie,
+dealt by the last ``LEAD`` bytes of context (shorter contexts travel whole).
 
 A byte is coded in the longest context the trie has: with probability (c - 1/2) / T if it
 was seen there (T all counts, D distinct symbols), else an escape, (D / 2) / T, leads to
@@ -35,7 +36,9 @@ from stepforge.llm import arrays
 from stepforge.storage import materialize
 
 ORDER = 5
-MAX_ENTRIES = 1_500_000
+MAX_ENTRIES = 1_500_000  # frequent entries that travel with the task; the rest is joined
+LEAD = 3
+GROUP_ENTRIES = 500_000  # of the longest contexts, in one group of the join
 BROADCAST_WORDS = 300_000  # frequent words that travel with the task; the rest is joined
 MERGE_AT = 2_000_000
 SLICE_BYTES = 2 << 20
@@ -154,7 +157,8 @@ class Trie:
     first: np.ndarray  # log10 probability of each entry of the longest contexts, where most bytes end
 
     @staticmethod
-    def build(order: int, keys: list[np.ndarray], counts: list[np.ndarray]) -> Trie:
+    def build(order: int, keys: list[np.ndarray], counts: list[np.ndarray], each: np.ndarray | None = None) -> Trie:
+        """``each``: T by entry of the longest contexts, where the entries given are not all."""
         nodes, whole, kinds, after_whole, after_kinds = [], [], [], [], []
         for k in range(order + 1):
             own, c = keys[k], counts[k].astype(np.float64)
@@ -174,7 +178,8 @@ class Trie:
             else:
                 after_kinds.append(np.zeros(len(at)))
                 after_whole.append(np.zeros(len(at)))
-        each = whole[order][np.searchsorted(nodes[order], keys[order] >> np.uint64(8))] if len(keys[order]) else np.zeros(0)
+        if each is None:
+            each = whole[order][np.searchsorted(nodes[order], keys[order] >> np.uint64(8))] if len(keys[order]) else np.zeros(0)
         first = np.log10((counts[order] - 0.5) / each)
         return Trie(order, keys, counts, nodes, whole, kinds, after_whole, after_kinds, first)
 
@@ -230,9 +235,12 @@ class Words:
 
 @dataclass
 class Learned:
-    trie: Trie
+    trie: Trie  # the frequent entries; its ``first`` is exact even if they are not all
     words: Words
     rare: DataFrame  # (word, c): the words beyond the frequent ones
+    longest: DataFrame | None  # (key, n): all entries of the longest contexts, None if the trie has them all
+    n_longest: int
+    shorter: list[tuple[np.ndarray, np.ndarray]]  # by order below LEAD: all keys and counts
 
 
 def learn(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES,
@@ -252,6 +260,14 @@ def learn(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES,
     entries = materialize(trie_rows, "trie")
     least = _least_count(entries, max_entries)
     found = [_fetched(entries.where((F.col("k") == k) & (F.col("n") >= least)).select("key", "n")) for k in range(order + 1)]
+    longest, n_longest, shorter_ones, each = None, 0, [], None
+    if least > 1:
+        longest = entries.where(F.col("k") == order).select("key", "n")
+        n_longest = longest.count()
+        shorter_ones = [_fetched(entries.where(F.col("k") == k).select("key", "n")) for k in range(min(order, LEAD))]
+        whole = longest.groupBy(F.shiftrightunsigned("key", 8).alias("context")).agg(F.sum("n").alias("whole"))
+        frequent = longest.where(F.col("n") >= least).select("key", F.shiftrightunsigned("key", 8).alias("context"))
+        each = _fetched(frequent.join(whole, "context").select("key", F.col("whole").alias("n")))[1].astype(np.float64)
     words = counted.where("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     sums = words.agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("n")).first()
     ends = counted.where("kind = 2").agg(F.sum("n")).first()[0] or 0
@@ -259,10 +275,11 @@ def learn(docs: DataFrame, order: int = ORDER, max_entries: int = MAX_ENTRIES,
     hashes, times = _fetched(words.where(F.col("c") >= floor).select(F.col("word").alias("key"), F.col("c").alias("n")))
     turn = np.argsort(hashes.view(np.int64))
     return Learned(
-        Trie.build(order, [keys for keys, _ in found], [counts for _, counts in found]),
+        Trie.build(order, [keys for keys, _ in found], [counts for _, counts in found], each),
         Words(hashes.view(np.int64)[turn], times[turn], ends,
               (sums["n"] or 0) + ends, sums["v"] + (ends > 0)),
         words.where(F.col("c") < floor),
+        longest, n_longest, shorter_ones,
     )
 
 
@@ -298,18 +315,23 @@ def _least_count(entries: DataFrame, most: int) -> int:
 
 
 _SCORED = ("doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, "
-           "rare array<long>")
+           "rare array<long>, open array<long>")
 
 
-def _score(model):
+def _score(model, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, table = model.value
+        trie, (frequent, first), table = model.value
         for part in arrays.slices(batches, "text", SLICE_BYTES):
             offsets, data = arrays.utf8(part.column("text"))
             words = arrays.Words(offsets, arrays.lowered(data))
-            out, begins = stream(words, trie.order)
-            at = coded(begins, trie.order)
-            logs = trie.logs(contexts(out, at, trie.order))
+            out, begins = stream(words, order)
+            at = coded(begins, order)
+            keys = contexts(out, at, order)
+            if trie is not None:
+                logs, settled = trie.logs(keys), np.ones(len(keys), bool)
+            else:
+                entry, settled = _find(frequent, keys)
+                logs = np.where(settled, _take(first, entry), 0.0)
             cuts = np.searchsorted(at, begins)
             score = np.add.reduceat(logs, cuts[:-1])  # every text has its end to code
             hashes = words.hashes().view(np.int64)
@@ -318,6 +340,7 @@ def _score(model):
             text = np.repeat(np.arange(part.num_rows), np.diff(words.first))
             plain = np.bincount(text, value, minlength=part.num_rows)
             rare = np.concatenate(([0], np.cumsum(~hit)))[words.first]
+            unsettled = np.concatenate(([0], np.cumsum(~settled)))[cuts]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
@@ -327,19 +350,50 @@ def _score(model):
                     pa.array(plain + np.log10(table.ends + 1.0)),
                     pa.array(score),
                     pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(hashes[~hit])),
+                    pa.ListArray.from_arrays(pa.array(unsettled.astype(np.int32)), pa.array(keys[~settled].view(np.int64))),
                 ],
-                names=["doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare"],
+                names=["doc_id", "held_out", "n_tokens", "known", "logs", "score", "rare", "open"],
             )
 
     return run
 
 
+def _chained(order: int, shorter):
+    """log10 probability of each key asked for, from all entries that end in the same bytes of context."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        wanted = asked["key"].to_numpy().view(np.uint64)
+        below = shorter.value
+        longest = _summed(held["key"].to_numpy().view(np.uint64), held["n"].to_numpy())
+        levels = [longest]
+        for k in range(order - 1, len(below) - 1, -1):
+            levels.append(_summed(levels[-1][0] & np.uint64((1 << (8 * (k + 1))) - 1), levels[-1][1]))
+        levels = [*below, *levels[::-1]]
+        trie = Trie.build(order, [keys for keys, _ in levels], [counts for _, counts in levels])
+        return pa.table({"key": pa.array(wanted.view(np.int64)), "log": pa.array(trie.logs(wanted))})
+
+    return run
+
+
+def _looked_up(keys: DataFrame, learned: Learned) -> DataFrame:
+    """(key, log): the log10 probability of each of the distinct keys under the whole trie."""
+    session, order = keys.sparkSession, learned.trie.order
+    groups = max(int(session.conf.get("spark.sql.shuffle.partitions")), learned.n_longest // GROUP_ENTRIES + 1)
+    ending = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * len(learned.shorter))) - 1).cast("long"))
+    group = F.pmod(F.xxhash64(ending), F.lit(groups)).alias("part")
+    shorter = session.sparkContext.broadcast(learned.shorter)
+    asked, held = keys.select("key", group), learned.longest.select("key", "n", group)
+    return asked.groupBy("part").cogroup(held.groupBy("part")).applyInArrow(_chained(order, shorter), "key long, log double")
+
+
 def score(docs: DataFrame, learned: Learned) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of (doc_id, held_out, text)."""
     words = learned.words
-    model = docs.sparkSession.sparkContext.broadcast((learned.trie, words))
+    trie = learned.trie
+    settles = (trie, (None, None)) if learned.longest is None else (None, (trie.keys[trie.order], trie.first))
+    model = docs.sparkSession.sparkContext.broadcast((*settles, words))
     scored = materialize(
-        docs.select("doc_id", "held_out", "text").mapInArrow(_score(model), _SCORED)
+        docs.select("doc_id", "held_out", "text").mapInArrow(_score(model, trie.order), _SCORED)
         .withColumn("row", F.monotonically_increasing_id()),
         "scored",
     )
@@ -349,11 +403,18 @@ def score(docs: DataFrame, learned: Learned) -> DataFrame:
         .groupBy("row")
         .agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("more_logs"))
     )
+    joined, score_of = scored.join(rare, "row", "left"), F.col("score")
+    if learned.longest is not None:
+        keys = scored.select("row", F.explode("open").alias("key"))
+        logs = materialize(_looked_up(keys.select("key").distinct(), learned), "logs")
+        settled = keys.join(logs, "key").groupBy("row").agg(F.sum("log").alias("open_score"))
+        joined = joined.join(settled, "row", "left")
+        score_of = F.col("score") + F.coalesce("open_score", F.lit(0.0))
     whole = F.lit(float(np.log10(words.all_tokens + words.distinct + 1)))
-    return scored.join(rare, "row", "left").select(
+    return joined.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(words.all_tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * whole).alias("base_score"),
-        "score",
+        score_of.alias("score"),
     )

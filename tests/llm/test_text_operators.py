@@ -242,6 +242,18 @@ def test_capacity_keeps_the_most_frequent_entries(spark):
     assert np.isfinite(learned.trie.logs(np.arange(256, dtype=np.uint64))).all()
 
 
+@pytest.mark.parametrize("most", [0, 60, 300])
+def test_entries_beyond_the_broadcast_count_as_well(spark, most):
+    rows = [(i, i % 3 == 0, " ".join(lettered(i % 7, 4) + ["common", "émigré"] + lettered(200 + i, 3))) for i in range(30)]
+    rows += [(40, True, None), (41, True, "unseen ZEBRA common")]
+    docs = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string")
+    learned = ppm.learn(docs.where("NOT held_out"), order=4, max_entries=most)
+    assert learned.longest is not None and sum(len(k) for k in learned.trie.keys) <= most
+    plain = plain_ppm([t for _, held, t in rows if not held], 4)
+    got = {r["doc_id"]: r["score"] for r in ppm.score(docs, learned).collect()}
+    assert all(math.isclose(got[i], plain(t), rel_tol=1e-9) for i, _, t in rows) and len(got) == len(rows)
+
+
 # op9
 
 def plain_quality(rows, max_line_docs):
