@@ -1,16 +1,15 @@
-"""Benchmark decontamination: rare word triples seed Smith-Waterman alignments.
+"""Benchmark decontamination: word triples seed Smith-Waterman alignments.
 
 Texts are read as words (A-Z lower-cased; ASCII white space and punctuation separate).
-Every triple of an item's words is a seed; seeds that many documents hold are left out
-as long as half of the item's triples remain (the rarest half always stays, so an item
-that leaked into many documents is still found).  Where a document holds at least two
-seeds of an item (one, if the item has no more), the words around them are aligned
-with the item: match +2, mismatch and gap -1.  The score is the alignment's share of a
-perfect one; from ``MIN_SCORE`` on the passage is a copy, edited or not.
+Every triple of an item's words is a seed, however many documents hold it.  Where a
+document holds at least two seeds of an item (one, if the item has at most two), the
+words around them are aligned with the item: match +2, mismatch and gap -1.  Parts that
+hold too few of the item's words for any alignment to reach ``MIN_SCORE`` are passed by.
+The score is the alignment's share of a perfect one; from ``MIN_SCORE`` on the passage
+is a copy, edited or not.
 
 The items are broadcast in blocks of at most ``BLOCK_BYTES`` of text; a larger
-benchmark is taken block by block, each against all documents.  Nothing is shuffled
-but seed counts.
+benchmark is taken block by block, each against all documents.  Nothing is shuffled.
 
 Defined results: null or empty texts match nothing; items of fewer than three words are
 no evidence and match nothing; texts of any length are read whole; items or documents
@@ -33,8 +32,6 @@ from stepforge.storage import materialize
 
 WIDTH = 3
 MIN_SCORE = 0.6
-COMMON_SHARE = 0.001  # of all documents; seeds above it are common
-COMMON_LEAST = 20
 BLOCK_BYTES = 4 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -64,30 +61,11 @@ def read_items(ids: list, texts: list) -> Items:
         distinct = np.unique(grams[a : b - WIDTH + 1]).tolist() if b - a >= WIDTH else []
         for g in distinct:
             held.setdefault(g, []).append(i)
-        needed.append(min(2, len(distinct)))
+        needed.append(1 if len(distinct) <= 2 else 2)
     seeds = np.array(sorted(held), np.uint64)
     return Items(ids, own, seeds, [held[g] for g in seeds.tolist()], needed)
 
 
-def choose_rare(items: Items, counts: np.ndarray, n_docs: int) -> Items:
-    """Without common seeds, but never with fewer than the rarest half of an item's."""
-    common = counts > max(COMMON_LEAST, COMMON_SHARE * n_docs)
-    by_item: dict[int, list[int]] = {}
-    for s, owners in enumerate(items.owners):
-        for i in owners:
-            by_item.setdefault(i, []).append(s)
-    kept: list[list[int]] = [[] for _ in items.owners]
-    needed = [0] * len(items.needed)
-    for i, own in by_item.items():
-        own.sort(key=lambda s: (counts[s], int(items.seeds[s])))
-        rare = sum(not common[s] for s in own)
-        for s in own[: max(rare, (len(own) + 1) // 2)]:
-            kept[s].append(i)
-        needed[i] = min(2, max(rare, (len(own) + 1) // 2))
-    used = [s for s, owners in enumerate(kept) if owners]
-    return Items(items.ids, items.words, items.seeds[used], [kept[s] for s in used], needed)
-
-
 def align(item: np.ndarray, part: np.ndarray) -> tuple[float, int, int]:
     """Best local alignment: share of a perfect score, first and last + 1 word of ``part`` in it.
 
@@ -145,28 +123,16 @@ def _near(seeds: np.ndarray) -> np.ndarray:
     return near
 
 
-def _count(seeds: np.ndarray):
-    """(seed, n) of the documents of a task that hold the seed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near, counts = _near(seeds), np.zeros(len(seeds), np.int64)
-        for part in arrays.slices(batches, "text"):
-            for _, _, _, which in _hits(part, seeds, near):
-                counts[np.unique(which)] += 1
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["seed", "n"])
-
-    return run
-
-
-def passages(words: np.ndarray, at: np.ndarray, seeds: np.ndarray, item: np.ndarray, needed: int):
-    """Alignments (score, begin, end) of an item with the parts of a text that hold its seeds."""
+def passages(words: np.ndarray, at: np.ndarray, seeds: np.ndarray, item: np.ndarray, needed: int, min_score: float):
+    """Alignments (score, begin, end) of an item with the parts of a text that hold its seeds and may reach ``min_score``."""
     reach = 2 * len(item)
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(at) > reach) + 1, [len(at)])).astype(int)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         if len(np.unique(seeds[a:b])) < needed:
             continue
         begin, end = max(0, int(at[a]) - reach), min(len(words), int(at[b - 1]) + WIDTH + reach)
+        if np.isin(item, words[begin:end]).sum() < min_score * len(item) - 1e-9:
+            continue
         score, first, last = align(item, words[begin:end])
         yield score, begin + first, begin + last
 
@@ -187,7 +153,7 @@ def _match(items: Items, min_score: float):
                 for i, places in by_item.items():
                     if len(set(which[places].tolist())) < items.needed[i]:
                         continue
-                    best = max(passages(words, at[places], which[places], items.words[i], items.needed[i]), default=None)
+                    best = max(passages(words, at[places], which[places], items.words[i], items.needed[i], min_score), default=None)
                     if best and best[0] >= min_score:
                         found.append((part.column("row_key")[t].as_py(), part.column("doc_id")[t].as_py(), items.ids[i],
                                       *best, len(set(which[places].tolist()))))
@@ -221,19 +187,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCORE)
     ``row_key`` hashes the document's text: it tells rows of one id apart.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row_key"))
-    n_docs = docs.count()
     found = docs.sparkSession.createDataFrame([], _MATCHES)
     for items in _blocks(benchmark):
         if not len(items.seeds):
             continue
-        counted = (
-            texts.select("text").mapInArrow(_count(items.seeds), "seed long, n long")
-            .groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
-        )
-        counts = np.zeros(len(items.seeds), np.int64)
-        counts[counted["seed"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-        rare = choose_rare(items, counts, n_docs)
-        found = found.unionByName(texts.mapInArrow(_match(rare, min_score), _MATCHES))
+        found = found.unionByName(texts.mapInArrow(_match(items, min_score), _MATCHES))
     return found
 
 

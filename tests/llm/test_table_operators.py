@@ -273,6 +273,18 @@ def test_copies_and_edited_copies_are_found_and_clean_documents_left(spark):
     assert decontaminate.matches(docs, bench.limit(0)).count() == decontaminate.matches(docs.limit(0), bench).count() == 0
 
 
+def test_edited_copies_in_many_documents_are_found(spark):
+    item = lettered(1, 50)
+    edited = " ".join(f"changed{i}" if i % 5 == 4 else w for i, w in enumerate(item))
+    rows = [(i, f"{' '.join(lettered(100 + i, 40))} {edited} {' '.join(lettered(300 + i, 40))}") for i in range(100)]
+    rows += [(500, " ".join(item)), (501, " ".join(lettered(600, 90)))]  # one whole copy: no triple is without a document
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for held in (rows[:100], rows):
+        found = decontaminate.matches(spark.createDataFrame(held, "doc_id long, text string"), bench).collect()
+        assert {r["doc_id"] for r in found} == {i for i, _ in held} - {501}
+        assert all(abs(r["score"] - 0.71) < 0.02 for r in found if r["doc_id"] < 100)
+
+
 def test_decontamination_on_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)  # more blocks than one
     bench = spark.createDataFrame([(1, " ".join(lettered(2, 40))), (1, " ".join(lettered(2, 40))), (None, "a b c d")], "item_id long, text string")
