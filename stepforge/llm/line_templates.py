@@ -6,9 +6,11 @@ become ``<*>``.  The tree has two fixed levels: the number of words, then the fi
 frequent; a line joins the most similar template (share of words equal at their place,
 at least ``SIMILAR``), whose differing words become ``<*>``, or starts a new one.  A
 template found in ``MIN_DOCS`` or more documents recurs; its lines are dropped from all
-documents but the one with the smallest id, so no content is lost altogether.
+documents but the one with the smallest id, so no content is lost altogether.  A line of
+more than ``LONG_WORDS`` words recurs if it stands word for word, fields included, in
+``LONG_DOCS`` documents; lines of any leaf are counted for that.
 
-Lines of leaves with fewer than ``MIN_DOCS`` lines can't recur and are not shuffled.  A
+Other lines of leaves with fewer than ``MIN_DOCS`` lines can't recur and are not shuffled.  A
 leaf with more than ``LEAF_LINES`` distinct lines is dealt out; the templates of its
 parts meet again, at most ``ROUNDS`` times, and what is then still more than one task
 takes stays in separate templates.
@@ -34,6 +36,8 @@ from stepforge.storage import materialize
 DEPTH = 4
 SIMILAR = 0.6
 MIN_DOCS = 10
+LONG_WORDS = 50
+LONG_DOCS = 2
 LEAF_LINES = 4096
 ROUNDS = 3
 TASK_LINES = 20_000
@@ -55,6 +59,7 @@ class Lines:
         flags[:-2] |= (data[:-2] == 58) & (data[1:-1] == 47) & (data[2:] == 47)
         seen = np.concatenate(([0], np.cumsum(flags)))
         self.field = seen[words.ends] > seen[words.starts]
+        spelled = hashes.copy()
         hashes[self.field] = _FIELD_HASH
         breaks = np.concatenate(([0], np.cumsum(data == 10)))
         text = np.repeat(np.arange(len(column)), np.diff(words.first))
@@ -70,11 +75,15 @@ class Lines:
             place = np.arange(len(hashes)) - np.repeat(self.lead, self.sizes)
             weighted = hashes * arrays.places(int(self.sizes.max()))[place]
             self.hashes = arrays.mix(np.add.reduceat(weighted, self.lead)).view(np.int64)
+            exact = arrays.mix(np.add.reduceat(spelled * arrays.places(int(self.sizes.max()))[place], self.lead)).view(np.int64)
             top = np.add.reduceat(np.where(place < DEPTH, weighted, np.uint64(0)), self.lead)
             count = self.sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             self.leaves = arrays.mix(top ^ arrays.mix(count)).view(np.int64)
         else:
-            self.hashes = self.leaves = np.zeros(0, np.int64)
+            self.hashes = self.leaves = exact = np.zeros(0, np.int64)
+        self.long = np.flatnonzero(self.sizes > LONG_WORDS)
+        self.exact = exact[self.long]
+        self.first_long = np.searchsorted(self.long, self.first)
 
     def masked(self, i: int) -> str:
         out = []
@@ -84,13 +93,13 @@ class Lines:
         return " ".join(out)
 
 
-_PLACED = "doc_id long, text_key long, numbers array<int>, leaves array<long>, hashes array<long>"
+_PLACED = "doc_id long, text_key long, numbers array<int>, leaves array<long>, hashes array<long>, long_numbers array<int>, exact array<long>"
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in arrays.slices(batches, "text"):
         lines = Lines(part.column("text"))
-        at = pa.array(lines.first.astype(np.int32))
+        at, at_long = pa.array(lines.first.astype(np.int32)), pa.array(lines.first_long.astype(np.int32))
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
@@ -98,8 +107,10 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(at, pa.array(lines.number.astype(np.int32))),
                 pa.ListArray.from_arrays(at, pa.array(lines.leaves)),
                 pa.ListArray.from_arrays(at, pa.array(lines.hashes)),
+                pa.ListArray.from_arrays(at_long, pa.array(lines.number[lines.long].astype(np.int32))),
+                pa.ListArray.from_arrays(at_long, pa.array(lines.exact)),
             ],
-            names=["doc_id", "text_key", "numbers", "leaves", "hashes"],
+            names=["doc_id", "text_key", "numbers", "leaves", "hashes", "long_numbers", "exact"],
         )
 
 
@@ -203,6 +214,19 @@ def templates_of(lines: DataFrame) -> DataFrame:
     )
 
 
+def _repeated_long(placed: DataFrame) -> DataFrame:
+    """(doc_id, text_key, number, keeper) of the long lines that several documents hold word for word."""
+    held = placed.select("doc_id", "text_key", F.explode(F.arrays_zip("long_numbers", "exact")).alias("x")).select(
+        "doc_id", "text_key", F.col("x.long_numbers").alias("number"), F.col("x.exact").alias("exact")
+    )
+    repeated = (
+        held.select("exact", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("holder"), "doc_id").distinct()
+        .groupBy("exact").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("keeper"))
+        .where(F.col("n_docs") >= LONG_DOCS).select("exact", "keeper")
+    )
+    return held.join(repeated, "exact").select("doc_id", "text_key", "number", "keeper")
+
+
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """The lines to drop, (doc_id, text_key, n_lines, dropped: line numbers), of every document, and the templates.
 
@@ -232,8 +256,12 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, Dat
         .where(F.col("n_docs") >= min_docs),
         "recurring",
     )
-    dropped = (
+    by_template = (
         live_held.join(grown.join(templates, ["leaf", "template"]).select("leaf", "line", "keeper"), ["leaf", "line"])
+        .select("doc_id", "text_key", "number", "keeper")
+    )
+    dropped = (
+        by_template.unionByName(_repeated_long(placed))
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("doc_id").alias("d_id"), F.col("text_key").alias("d_key"))
         .agg(F.collect_set("number").alias("dropped"))

@@ -59,6 +59,18 @@ def test_variable_words_recur_as_one_template(spark):
     assert sorted(r["n_dropped"] for r in got.collect()) == [0] + [1] * 14
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    own = lambda i: " ".join(lettered(100 + i, 12))
+    passage = " ".join([*lettered(7, 58), "in", "2024"])
+    other = passage.replace("2024", "1999")  # not the same words
+    short = " ".join(lettered(8, 50))
+    rows = [(1, f"{own(1)}\n{passage}\n{short}"), (2, f"{passage}\n{own(2)}\n{short}"), (3, f"{own(3)}\n{other}"), (None, passage)]
+    got = {r["doc_id"]: r for r in line_templates.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["text"] == rows[0][1] and got[3]["text"] == rows[2][1]
+    assert got[2]["text"] == f"{own(2)}\n{short}" and got[2]["n_dropped"] == 1
+    assert got[None]["text"] == "" and got[None]["n_dropped"] == 1
+
+
 def test_line_templates_on_odd_rows(spark):
     got = line_templates.clean(odd_docs(spark), min_docs=3)
     assert got.columns == [*odd_docs(spark).columns, "n_lines", "n_dropped"]
