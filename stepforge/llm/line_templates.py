@@ -11,9 +11,10 @@ more than ``LONG_WORDS`` words recurs if it stands word for word, fields include
 ``LONG_DOCS`` documents; lines of any leaf are counted for that.
 
 Other lines of leaves with fewer than ``MIN_DOCS`` lines can't recur and are not shuffled.  A
-leaf with more than ``LEAF_LINES`` distinct lines is dealt out; the templates of its
-parts meet again, at most ``ROUNDS`` times, and what is then still more than one task
-takes stays in separate templates.
+leaf with more than ``LEAF_LINES`` distinct lines is dealt out anew up to ``ROUNDS``
+times.  If its templates are then still more than one task takes, every chunk of them
+meets every other chunk: a template joins the most similar one before it (by documents)
+that joins none itself, until no two are similar.
 
 Defined results: null and empty texts have no lines and stay as they are; lines without
 a word are kept; rows equal in id and text are one document; rows with a null id count
@@ -182,16 +183,68 @@ def _cluster(group: pa.Table) -> pa.Table:
     )
 
 
+def _similar(group: pa.Table) -> pa.Table:
+    """Per template of two chunks of a leaf: the most similar of those before it, if similar enough."""
+    order = sorted(zip(*(group[c].to_pylist() for c in ("n", "line", "template", "leaf"))), key=lambda r: (-r[0], r[1]))
+    words: dict[str, int] = {}
+    coded = np.array([[words.setdefault(w, len(words)) for w in r[2].split(" ")] for r in order], np.int32)
+    line, root, share = [], [], []
+    for i in range(1, len(coded)):
+        same = (coded[:i] == coded[i]).mean(axis=1)
+        best = int(same.argmax())
+        if same[best] >= SIMILAR:
+            line.append(order[i][1])
+            root.append(order[best][1])
+            share.append(float(same[best]))
+    return pa.table({
+        "leaf": pa.array([order[0][3]] * len(line), pa.int64()), "line": pa.array(line, pa.int64()),
+        "root": pa.array(root, pa.int64()), "share": pa.array(share, pa.float64()),
+    })
+
+
+def _merged(large: DataFrame) -> DataFrame:
+    """(leaf, line, root) of the templates (leaf, line, template, n) that join another, with the one they end in."""
+    found = None
+    large = materialize(large, "large")
+    while True:
+        chunks = large.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF_LINES).alias("parts"))
+        own, other = F.pmod(F.xxhash64("line"), "parts"), F.col("other")
+        paired = (
+            large.join(chunks, "leaf").withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            .select("leaf", "line", "template", "n", F.least("own", other).alias("a"), F.greatest("own", other).alias("b"))
+        )
+        links = (
+            paired.groupBy("leaf", "a", "b").applyInArrow(_similar, "leaf long, line long, root long, share double")
+            .groupBy("leaf", "line").agg(F.max(F.struct("share", "root"))["root"].alias("root"))
+        )
+        links = materialize(links, "links")
+        if links.isEmpty():
+            return found if found is not None else links
+        joins = links.join(links.select("leaf", F.col("line").alias("root")), ["leaf", "root"], "left_anti")
+        joins = materialize(joins.select("leaf", "line", "root"), "joins")
+        if found is not None:
+            later = joins.select("leaf", F.col("line").alias("root"), F.col("root").alias("last"))
+            found = found.join(later, ["leaf", "root"], "left").select("leaf", "line", F.coalesce("last", "root").alias("root"))
+        found = materialize(joins if found is None else found.unionByName(joins), "found")
+        gained = joins.join(large, ["leaf", "line"]).groupBy("leaf", F.col("root").alias("line")).agg(F.sum("n").alias("more"))
+        large = materialize(
+            large.join(joins, ["leaf", "line"], "left_anti").join(gained, ["leaf", "line"], "left")
+            .select("leaf", "line", "template", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n")),
+            "large",
+        )
+
+
 def templates_of(lines: DataFrame) -> DataFrame:
     """(leaf, line, template) from the distinct lines (leaf, line, masked, n: documents)."""
     partitions = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     level = lines.withColumnRenamed("masked", "template")
     placed = lines.select("leaf", "line", F.col("line").alias("now"))
-    for _ in range(ROUNDS):
+    for k in range(ROUNDS):
         sizes = level.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / LEAF_LINES).alias("parts"))
         tasks = max(partitions, level.count() // TASK_LINES + 1)
         dealt = level.join(sizes, "leaf").select(
-            "leaf", "line", F.col("template").alias("masked"), "n", F.pmod(F.xxhash64("line"), "parts").alias("part")
+            "leaf", "line", F.col("template").alias("masked"), "n", F.pmod(F.xxhash64("line", F.lit(k)), "parts").alias("part")
         )
         joined = materialize(
             dealt.withColumn("task", F.pmod(F.xxhash64("leaf", "part"), F.lit(tasks))).groupBy("task")
@@ -207,8 +260,14 @@ def templates_of(lines: DataFrame) -> DataFrame:
             .withColumn("line", F.xxhash64("template"))
         )
         level = materialize(level.select("leaf", "line", "template", "n"), "level")
-        if sizes.where("parts > 1").isEmpty():
+        large = sizes.where("parts > 1").select("leaf")
+        if large.isEmpty():
             break
+    else:
+        merged = _merged(level.join(large, "leaf"))
+        placed = placed.join(merged.select("leaf", F.col("line").alias("now"), "root"), ["leaf", "now"], "left").select(
+            "leaf", "line", F.coalesce("root", "now").alias("now")
+        )
     return placed.join(level.select("leaf", F.col("line").alias("now"), "template"), ["leaf", "now"]).select(
         "leaf", "line", "template"
     )

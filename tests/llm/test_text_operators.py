@@ -71,6 +71,15 @@ def test_long_lines_recur_from_two_documents_on(spark):
     assert got[None]["text"] == "" and got[None]["n_dropped"] == 1
 
 
+def test_similar_lines_of_a_large_leaf_meet(spark, monkeypatch):
+    monkeypatch.setattr(line_templates, "LEAF_LINES", 8)
+    lead, base = "log of the day", lettered(3, 8)
+    varied = [" ".join([lead, *(f"x{'abcdefghijkl'[i]}" if k == i % 3 else w for k, w in enumerate(base))]) for i in range(12)]
+    rows = list(enumerate(varied)) + [(100 + i, f"{lead} {' '.join(lettered(20 + i, 8))}") for i in range(60)]
+    got = {r["doc_id"]: r["n_dropped"] for r in line_templates.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(0 < i < 12) for i, _ in rows}
+
+
 def test_line_templates_on_odd_rows(spark):
     got = line_templates.clean(odd_docs(spark), min_docs=3)
     assert got.columns == [*odd_docs(spark).columns, "n_lines", "n_dropped"]
