@@ -2,8 +2,9 @@
 
 Lines are normalised (A-Z lower-cased, white space collapsed) and hashed; for each
 host the distinct documents that hold a line are counted.  A line held by more than
-``max_line_docs`` documents of its host is boilerplate: it is removed from all of
-them but the one with the smallest id, so no content is lost altogether.  A document
+``HOST_SHARE`` of its host's documents (``FEW_DOCS`` at least, ``max_line_docs`` at
+most) is boilerplate: it is removed from all of them but the one with the smallest
+id, so no content is lost altogether.  A document
 left with fewer than ``min_words`` words, or with less than ``min_left`` of its
 words, is depleted and rejected.  Documents that fail the base rules (too few words,
 too many words in repeated 5-word windows) are rejected at once.
@@ -28,6 +29,8 @@ from stepforge.llm import arrays
 from stepforge.storage import materialize
 
 MAX_LINE_DOCS = 100
+FEW_DOCS = 5
+HOST_SHARE = 0.02
 MIN_LEFT = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -121,10 +124,14 @@ def judge(docs: DataFrame, host: str = "source", max_line_docs: int = MAX_LINE_D
         "measured",
     )
     held = measured.select("doc_id", "host", F.explode(F.array_distinct("line_hashes")).alias("line"))
+    sizes = measured.groupBy(F.col("host").alias("sized_host")).agg(F.count_distinct("doc_id").alias("host_docs"))
+    most = F.least(F.lit(max_line_docs), F.greatest(F.lit(FEW_DOCS), F.col("host_docs") * HOST_SHARE))
     common = (
         held.groupBy("host", "line")
         .agg(F.count_distinct("doc_id").alias("n_docs"), F.min("doc_id").alias("keeper"))
-        .where(F.col("n_docs") > max_line_docs)
+        .where(F.col("n_docs") > min(FEW_DOCS, max_line_docs))
+        .join(sizes, F.col("host").eqNullSafe(F.col("sized_host")))
+        .where(F.col("n_docs") > most)
         .select(F.col("host").alias("common_host"), F.col("line").alias("common_line"), "keeper")
     )
     removed = (

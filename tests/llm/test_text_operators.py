@@ -319,6 +319,18 @@ def test_quality_rules_equal_plain_python(spark):
     assert "Cookie" in cleaned[1] and cleaned[3] == " ".join(lettered(3, 15)) and cleaned[30] == rows[24][1]
 
 
+def test_boilerplate_of_a_small_host_is_removed(spark):
+    same = "\n".join(" ".join(lettered(k, 12)) for k in (1, 2, 3))
+    rows = [(i, same, "small") for i in range(60)]
+    rows += [(100 + i, f"{' '.join(lettered(10 + i, 20))}\nheld by a few only", "other") for i in range(5)]
+    rows += [(200 + i, f"{' '.join(lettered(50 + i, 20))}\nheld by more than a few", None) for i in range(6)]
+    got = {r["doc_id"]: (r["kept"], r["n_removed_words"]) for r in line_quality.judge(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0] == (True, 0) and all(got[i] == (False, 36) for i in range(1, 60))
+    assert all(got[100 + i] == (True, 0) for i in range(5))
+    assert got[200] == (True, 0) and all(got[200 + i] == (True, 6) for i in range(1, 6))
+
+
 def test_quality_rules_on_odd_rows(spark):
     got = line_quality.judge(odd_docs(spark)).collect()
     assert len(got) == len(odd_rows())
