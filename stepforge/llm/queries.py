@@ -16,6 +16,7 @@ from stepforge.llm import (
     line_templates,
     mixture,
     ppm,
+    sentence_pieces,
     token_files,
     warc,
 )
@@ -103,3 +104,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "score", "first_word", "end_word", "n_seeds")
+
+
+@query("op13_sentence_pieces")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("piece_bpe_32k.model")
+    return sentence_pieces.digests(sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), path), path))
