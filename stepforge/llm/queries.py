@@ -14,6 +14,7 @@ from stepforge.llm import (
     language_id,
     line_quality,
     line_templates,
+    merkle,
     mixture,
     ppm,
     sentence_pieces,
@@ -106,6 +107,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "first_word", "end_word", "n_seeds")
 
 
+@query("op11_merkle_manifest", merkle.sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 @query("op13_sentence_pieces")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
