@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stepforge.llm import (
     chat_format,
+    conversation_repair,
     decontaminate,
     jaccard_rtree,
     language_id,
@@ -112,6 +113,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+@query("op12_conversation_repair", conversation_repair.sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(turns), turns)
+
+
 @query("op13_sentence_pieces")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
