@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stepforge.functions import parsing as P
-from stepforge.operators import audit
+from stepforge.operators import audit, semantic
 from stepforge.plans import shared
 from stepforge.plans import sqlviews as V
 from stepforge.plans.catalog import query
@@ -173,3 +173,20 @@ def annotation_files(spark, sf):
     read = recordings.read_annotation_documents(spark, path, "*.txt")
     return read.select("image_path", "task", "total_steps", F.length("reasoning").cast("long").alias("reasoning_chars"),
                        "action_type", F.get("coordinates", 0).alias("x"), "key", "description")
+
+
+@query("X1", """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+told AS (SELECT vec_id * 2 AS vec_id, e FROM v
+  UNION ALL SELECT a.vec_id * 2 + 1, list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] + 0.33::DOUBLE * b.e[i])
+  FROM v a JOIN v b ON b.vec_id = a.vec_id + 1),
+sized AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM told),
+near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sized a JOIN sized b ON a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) > 0.95),
+reach AS (SELECT vec_id AS node, vec_id AS seen FROM told UNION SELECT node, b FROM reach JOIN near ON seen = a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, group_id FROM told
+JOIN (SELECT node, min(seen) AS group_id FROM reach GROUP BY node) ON node = vec_id
+LEFT JOIN (SELECT a, count(*) AS n_links FROM near GROUP BY a) ON a = vec_id""")
+def semantic_duplicates(spark, sf):
+    """Every vector and a retelling of it, moved by a third towards its successor: about half of them stay close."""
+    return semantic.links(A.retold_vectors(spark, sf))

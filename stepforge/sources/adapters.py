@@ -383,3 +383,13 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(3).alias("channels"),
         F.unhex(pixels).alias("data"),
     )
+
+
+def retold_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings (even ids), each also moved by a third towards its successor (odd ids)."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("_next"))
+    moved = F.zip_with("embedding", "_next", lambda a, b: a + 0.33 * b)
+    return e.withColumn("vec_id", F.col("vec_id") * 2).unionByName(
+        e.join(after, "vec_id").select((F.col("vec_id") * 2 + 1).alias("vec_id"), moved.alias("embedding"))
+    )
