@@ -124,12 +124,22 @@ def _refined(distance: int) -> Column:
     )
 
 
+def _banded(prepared: DataFrame, distance: int, by_action: bool) -> DataFrame:
+    return prepared.select("*", F.explode(_band_keys(distance, by_action)).alias("_k")).select(
+        *prepared.columns, F.col("_k.key").alias("key"), F.col("_k.band").alias("band")
+    )
+
+
+def coarse_keys(prepared: DataFrame, distance: int) -> DataFrame:
+    """One row per (row, key): a key per band, and the digest (``band`` NULL)."""
+    by_sha = prepared.where("sha is not null").withColumn("key", F.concat(F.lit("s|"), F.col("sha")))
+    return _banded(prepared, distance, True).unionByName(by_sha.withColumn("band", F.lit(None).cast("int")))
+
+
 def bucket_keys(prepared: DataFrame, distance: int, by_action: bool = True,
                 with_sha: bool = True, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per (row, bucket).  Crowded band buckets are replaced by finer ones."""
-    exploded = prepared.select("*", F.explode(_band_keys(distance, by_action)).alias("_k")).select(
-        *prepared.columns, F.col("_k.key").alias("key"), F.col("_k.band").alias("band")
-    )
+    exploded = _banded(prepared, distance, by_action)
     crowded = split_counts(exploded, "key", bucket_rows).select("key", F.lit(True).alias("_crowded"))
     marked = exploded.join(crowded, "key", "left")
     finer = F.when(F.col("_crowded"), _refined(distance)).otherwise(F.array("key"))
@@ -296,70 +306,144 @@ def exact_duplicates(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return attached.where(F.col("original_id") != F.col("id")).select("id", "original_id")
 
 
-def _fold_component(frame: pd.DataFrame) -> pd.DataFrame:
-    """Decides the rows of one component along the order; rows that can't be decided yet are left out."""
+def _fold_segment(frame: pd.DataFrame) -> pd.DataFrame:
+    """Decides the rows of one segment along the order; rows that can't be decided yet stay open.
+
+    ``before`` are the matches in earlier segments that were kept or are open, in order.
+    """
     kept, still_open, out = set(), set(), []
     for row in frame.sort_values("place").itertuples(index=False):
-        earlier = [] if row.earlier is None else list(row.earlier)
-        original = next((e for e in earlier if e in kept), None)
+        before = [] if row.before is None else [(e["earlier"], e["state"]) for e in row.before]
+        inside = [] if row.inside is None else list(row.inside)
+        original = next((e for e, state in before if state == "kept"), None)
+        if original is None:
+            original = next((e for e in inside if e in kept), None)
         if original is not None:
-            out.append((row.id, original))
-        elif row.sighted and not any(e in still_open for e in earlier):
+            out.append((row.id, original, "dropped"))
+        elif row.sighted and not any(state == "open" for _, state in before) and not any(e in still_open for e in inside):
             kept.add(row.id)
-            out.append((row.id, None))
+            out.append((row.id, None, "kept"))
         else:
             still_open.add(row.id)
-    return pd.DataFrame(out, columns=["id", "duplicate_of"], dtype="object")
+            out.append((row.id, None, "open"))
+    return pd.DataFrame(out, columns=["id", "duplicate_of", "state"], dtype="object")
+
 
+def _folded(edges: DataFrame, open_ids: DataFrame, order: DataFrame, fold_rows: int) -> DataFrame:
+    """(id, duplicate_of) of the rows of the edges' components that the edges decide.
 
-def _folded(edges: DataFrame, open_ids: DataFrame, order: DataFrame) -> DataFrame:
-    """(id, duplicate_of) of the rows of components of at most ``FOLD_ROWS`` rows that the edges decide."""
+    A component is cut along the order into segments of ``fold_rows`` rows.  Segments
+    of one number are folded together, each component's in a task; what they kept or
+    left open is looked up by the segments after them.  So a task holds a segment,
+    and the number of jobs follows the largest component's rows, not its chains.
+    """
     comps = components(edges.select(F.col("id").alias("a"), F.col("earlier").alias("b")))
-    small = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= FOLD_ROWS).select("comp")
-    matches = edges.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("earlier_ord", "earlier"))).alias("m")).select(
-        "id", F.transform("m", lambda x: x["earlier"]).alias("earlier")
-    )
     place = F.row_number().over(Window.partitionBy("comp").orderBy("ord"))
-    rows = (
-        comps.withColumnRenamed("node", "id").join(small, "comp").join(open_ids, "id").join(order, "id")
-        .join(matches, "id", "left")
-        .select("comp", "id", "sighted", "earlier", place.alias("place"))
+    rows = materialize(
+        comps.withColumnRenamed("node", "id").join(open_ids, "id").join(order, "id")
+        .select("comp", "id", "sighted", place.alias("place"))
+        .withColumn("segment", F.floor((F.col("place") - 1) / fold_rows).cast("int")),
+        "segments",
     )
-    return rows.groupBy("comp").applyInPandas(_fold_component, "id string, duplicate_of string")
+    later = rows.select("id", F.col("segment").alias("own"))
+    earlier = rows.select(F.col("id").alias("earlier"), F.col("segment").alias("theirs"))
+    placed = materialize(edges.join(later, "id").join(earlier, "earlier", "left"), "placed-edges")
+    match = F.struct("earlier_ord", "earlier")
+    verdicts: DataFrame | None = None
+    for segment in range((rows.agg(F.max("segment")).first()[0] or 0) + 1):
+        own = placed.where(F.col("own") == segment)
+        inside = own.where(F.col("theirs") == segment).groupBy("id").agg(F.array_sort(F.collect_list(match)).alias("m"))
+        here = rows.where(F.col("segment") == segment).join(
+            inside.select("id", F.transform("m", lambda x: x["earlier"]).alias("inside")), "id", "left"
+        )
+        before = own.where((F.col("theirs") < segment) | F.col("theirs").isNull())
+        if verdicts is None:
+            known = before.withColumn("state", F.lit("open"))
+        else:
+            states = verdicts.where("state <> 'dropped'").select(F.col("id").alias("earlier"), "state")
+            known = before.join(states, "earlier")
+        listed = known.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("earlier_ord", "earlier", "state"))).alias("before"))
+        folded = here.join(listed, "id", "left").select("comp", "id", "sighted", "place", "inside", "before").groupBy("comp")
+        done = materialize(folded.applyInPandas(_fold_segment, "id string, duplicate_of string, state string"), "folded")
+        verdicts = done if verdicts is None else verdicts.unionByName(done)
+    return verdicts.where("state <> 'open'").select("id", "duplicate_of")
+
 
+def _known_before(firsts: DataFrame, ids: DataFrame, index, distance: int, hot_rows: int, bucket_rows: int) -> DataFrame | None:
+    """(id, duplicate_of): new rows that match a row of the index, which is kept for good.
 
-def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame | None = None,
+    ``index`` gives the stored rows under the new rows' keys.  Crowded keys are cut finer
+    on both sides; the stored rows of a hot key are dealt over slices.
+    """
+    new = materialize(coarse_keys(firsts, distance), "new-keys")
+    found = index.lookup(new)
+    if found is None:
+        return None
+    stored = materialize(found.join(ids, "id", "left_anti"), "stored-keys")
+    crowded = split_counts(stored.where("band is not null"), "key", bucket_rows).select("key", F.lit(True).alias("_crowded"))
+
+    def finer(keyed: DataFrame) -> DataFrame:
+        marked = keyed.join(crowded, "key", "left")
+        return marked.withColumn("key", F.explode(F.when(F.col("_crowded"), _refined(distance)).otherwise(F.array("key")))).drop("_crowded")
+
+    old, rows = finer(prepare(stored)), finer(new)
+    slices = split_counts(old, "key", hot_rows)
+    count = F.coalesce("_slices", F.lit(1))
+    old = old.join(slices, "key", "left").withColumn("_slice", F.pmod(F.xxhash64("id"), count).cast("int"))
+    rows = rows.join(slices, "key", "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), count - 1)))
+    same_file = F.coalesce(_r("sha") == _h("sha"), F.lit(False))
+    similar = F.coalesce((hamming(_r("w"), _h("w")) <= distance) & _context_agrees(_r, _h), F.lit(False))
+    pairs = rows.alias("r").join(old.alias("h"), (_r("key") == _h("key")) & (_r("_slice") == _h("_slice")))
+    best = pairs.where(same_file | similar).groupBy(_r("id").alias("id")).agg(F.min(F.struct(_h("ord").alias("ord"), _h("id").alias("id"))).alias("best"))
+    return best.select("id", F.col("best.id").alias("duplicate_of"))
+
+
+class TableIndex:
+    """An index held as a plain table of kept rows."""
+
+    def __init__(self, rows: DataFrame, distance: int):
+        self.rows, self.distance = rows, distance
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        wanted = ["id", "ord", "sha", "phash", "action", "words", "coordinates"]
+        keyed = coarse_keys(prepare(self.rows.select(*wanted)), self.distance)
+        return keyed.join(keys.select("key").distinct(), "key", "left_semi").select("key", "band", *wanted)
+
+
+def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index=None,
               hot_rows: int = HOT_ROWS, bucket_rows: int = BUCKET_ROWS,
-              first_heads: int = FIRST_HEADS) -> DataFrame:
+              first_heads: int = FIRST_HEADS, fold_rows: int = FOLD_ROWS) -> DataFrame:
     """Rows plus ``duplicate_of`` (NULL for kept rows), as an arrival-order scan decides.
 
     A row is dropped iff it matches an earlier *kept* row by file digest or as a
     near duplicate.  Decisions are taken in rounds: a row whose buckets show no
     earlier undecided match is kept, the rows matching it are dropped.  What ``ROUNDS``
     rounds leave open (chains of rows each near the next) is decided component by
-    component in one fold along the order; only components of more than
-    ``FOLD_ROWS`` rows go on in rounds.
+    component in a fold along the order, ``fold_rows`` rows at a time.
 
-    ``index`` holds kept rows of earlier runs (same columns); they precede every new
-    row, except rows that are being processed again, which are no duplicates of
-    themselves.  Rows without sha and phash (no screenshot) are kept as they are.
+    ``index`` holds kept rows of earlier runs: a table with the same columns, or an
+    object whose ``lookup`` gives the stored rows under given keys.  They precede every
+    new row, except rows that are being processed again, which are no duplicates of
+    themselves; a new row that matches one of them is dropped at once.  Rows without
+    sha and phash (no screenshot) are kept as they are.
     """
     wanted = ["id", "ord", "sha", "phash", "action", "words", "coordinates"]
-    new = rows.select(*wanted).withColumn("_new", F.lit(True))
-    if index is not None:
-        old = index.select(*wanted).join(new.select("id"), "id", "left_anti").withColumn("_new", F.lit(False))
-        new = new.unionByName(old)
-    placed = new.withColumn("ord", F.struct(F.col("_new").alias("new"), F.col("ord").alias("ord")))
-    hashed = placed.where("sha is not null or phash is not null")
+    hashed = rows.select(*wanted).where("sha is not null or phash is not null")
     marked = materialize(collapse_copies(hashed, hot_rows), "copies")
-    undecided = prepare(marked.where("id = first_id").drop("first_id", "_new"))
+    undecided = prepare(marked.where("id = first_id").drop("first_id"))
     undecided = materialize(undecided, "undecided")
+    dropped: DataFrame | None = None
+    if index is not None:
+        stored = TableIndex(index, distance) if isinstance(index, DataFrame) else index
+        dropped = _known_before(undecided, rows.select("id"), stored, distance, hot_rows, bucket_rows)
+        if dropped is not None:
+            dropped = materialize(dropped, "known")
+            undecided = materialize(undecided.join(dropped.select("id"), "id", "left_anti"), "undecided")
 
     same_file = _r("sha").isNotNull() & (_r("sha") == _h("sha"))
     similar = (hamming(_r("w"), _h("w")) <= distance) & _context_agrees(_r, _h)
     conflict = F.coalesce(same_file, F.lit(False)) | F.coalesce(similar, F.lit(False))
 
-    dropped: DataFrame | None = None
     limit = min(first_heads, MOST_HEADS)
     while not undecided.isEmpty():
         keyed = materialize(bucket_keys(undecided, distance, bucket_rows=bucket_rows), "buckets")
@@ -385,7 +469,7 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
             turn += 1
             if turn == ROUNDS + 1 and not edges.isEmpty():
                 left = open_ids if decided is None else open_ids.join(decided, "id", "left_anti")
-                folded = materialize(_folded(edges, left, undecided.select("id", "ord")), "verdicts")
+                folded = materialize(_folded(edges, left, undecided.select("id", "ord"), fold_rows), "verdicts")
                 losers = folded.where("duplicate_of is not null")
                 dropped = losers if dropped is None else dropped.unionByName(losers)
                 decided = folded if decided is None else decided.unionByName(folded)
@@ -426,7 +510,7 @@ def survivors(rows: DataFrame, distance: int = D.NEAR_DISTANCE, index: DataFrame
         .join(dropped.withColumnRenamed("id", "first_id"), "first_id", "left")
     )
     resolved = attach_per_key(
-        marked.where("_new").select("id", "first_id"), per_first, "first_id", "id", "n", hot_rows
+        marked.select("id", "first_id"), per_first, "first_id", "id", "n", hot_rows
     )
     decision = resolved.select(
         "id",

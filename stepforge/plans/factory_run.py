@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from stepforge import domains as D
 from stepforge.functions import text as T
 from stepforge.operators import annotate, dedup, enrich, export, gate, lineage, metrics, normalize, registry
+from stepforge.operators.duplicate_index import StoredIndex
 from stepforge.sources import images, recordings, sinks
+from stepforge.storage import Written, materialize, remove_folder
 from stepforge.storage import exists as _exists
-from stepforge.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -57,7 +58,7 @@ NO_FACTS = "path string, length long, sha256 string, width int, height int, vari
 
 def process(lines: DataFrame, facts: DataFrame, regions: DataFrame | None = None,
             options: RunOptions = RunOptions(), responses: DataFrame | None = None,
-            cache: DataFrame | None = None, index: DataFrame | None = None) -> RunTables:
+            cache: DataFrame | None = None, index: StoredIndex | DataFrame | None = None) -> RunTables:
     """Label recorded lines (value, source_file, line_number).
 
     ``facts``: one narrow row per screenshot (see ``images.image_facts``);
@@ -225,47 +226,74 @@ def run(spark: SparkSession, recordings_dir: str, out_dir: str, version: str = "
             ),
             "facts",
         )
-    load = lambda name: spark.read.parquet(f"{work}/{name}") if _exists(spark, f"{work}/{name}") else None
-    index = load("dedup_index")
-    cache = load("annotation_cache")
-    tables = process(
-        lines, facts, regions, options, responses, cache,
-        None if index is None else dedup.migrate_index(index),
+    cache = _stored(spark, f"{work}/annotation_cache")
+    index = open_index(spark, work, f"run-{run_id}", options)
+    tables = process(lines, facts, regions, options, responses, cache, index)
+    index.add(tables.kept)
+    approved = publish(spark, tables, work, version, run_id, responses is not None)
+
+    examples = export.build_examples(
+        approved.where(F.col("training_stage").isin(list(options.export_stages))), options.agent_name
     )
-    approved = tables.scored.where("approved and training_stage <> ''")
+    sinks.write_examples(examples, out_dir, version)
+    exported = {s: 0 for s in options.export_stages}
+    counted = export.summary(approved, list(options.export_stages)).where("reason = 'exported'")
+    exported.update({r.stage: r.n for r in counted.collect()})  # at most one row per stage
+    sinks.update_manifest(spark, out_dir, exported, version, options.dataset_prefix)
+    report = {r.metric: r.n for r in metric_rows(tables).collect()}  # a few dozen rows
+    sinks.write_report(spark, f"{work}/reports/run_{run_id}.json", {"run_id": run_id, "metrics": report, "exported": exported})
+    return {"run_id": run_id, "version": version, "metrics": report, "exported": exported, "tables": tables}
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
+def open_index(spark: SparkSession, work: str, run: str, options: RunOptions) -> StoredIndex:
+    """The duplicate index that all runs and batches of a work folder share."""
+    index = StoredIndex(spark, f"{work}/duplicate_index", run, options.near_distance)
+    flat = _stored(spark, f"{work}/dedup_index")  # as earlier releases wrote it
+    if flat is not None:
+        index.adopt(flat)
+    return index
+
 
-    new_index = dedup.index_rows(tables.kept)
-    if index is not None:
-        new_index = new_index.join(index.select("id"), "id", "left_anti")
-    new_index.write.mode("append").parquet(f"{work}/dedup_index")
+def publish(spark: SparkSession, tables: RunTables, work: str, version: str, run_id: str, annotated: bool) -> DataFrame:
+    """Registry, version row, event log, membership and annotation cache of a run; returns the approved rows.
 
+    Doing it again for the same run adds nothing.
+    """
+    approved = tables.scored.where("approved and training_stage <> ''")
     rows = registry.registry_rows(
         _all_rows(tables)
         .withColumn("dataset_version", F.lit(version))
         .withColumn("updated_at", F.current_timestamp().cast("string"))
     )
     registry.register(rows, f"{work}/registry")
-    _write_version(spark, f"{work}/datasets", version, spark.read.parquet(f"{work}/registry").count(),
-                   approved.count(), f"Run {run_id}")
-    lineage.append_events(lineage.events_of(_with_events(tables)), f"{work}/lineage", run_id)
-    approved.select("sample_id", F.lit(run_id).alias("run_id")).write.mode("append").parquet(f"{work}/membership")
-    if responses is not None:
+    members = approved.select("sample_id", F.lit(run_id).alias("run_id"))
+    _append_once(spark, members, f"{work}/membership", run_id)
+    registered = spark.read.parquet(f"{work}/registry")
+    ready = registered.where((F.col("dataset_version") == version) & F.col("approved") & (F.col("training_stage") != ""))
+    _write_version(spark, f"{work}/datasets", version, registered.count(), ready.count(), f"Run {run_id}")
+    events = lineage.events_of(_with_events(tables))
+    known = _stored(spark, f"{work}/lineage")
+    if known is not None:
+        events = events.join(known.where(F.col("run_id") == run_id).select("sample_id").distinct(), "sample_id", "left_anti")
+    lineage.append_events(events, f"{work}/lineage", run_id)
+    if annotated:
         fresh = tables.scored.where("annotation_method = 'auto_llm' and not from_cache and cache_key is not null").select(
             "cache_key", *annotate.ANNOTATION_COLUMNS, F.current_timestamp().cast("string").alias("created_at")
         )
         registry.latest(fresh, "cache_key", "created_at").write.mode("append").parquet(f"{work}/annotation_cache")
+    return approved
 
-    examples = export.build_examples(
-        approved.where(F.col("training_stage").isin(list(options.export_stages))), options.agent_name
-    )
-    sinks.write_examples(examples, out_dir, version)
-    exported = {s: 0 for s in options.export_stages}
-    counted = export.summary(approved, list(options.export_stages)).where("reason = 'exported'")
-    exported.update({r.stage: r.n for r in counted.collect()})  # at most one row per stage
-    sinks.update_manifest(spark, out_dir, exported, version, options.dataset_prefix)
-    report = {r.metric: r.n for r in metric_rows(tables).collect()}  # a few dozen rows
-    sinks.write_report(spark, f"{work}/reports/run_{run_id}.json", {"run_id": run_id, "metrics": report, "exported": exported})
-    return {"run_id": run_id, "version": version, "metrics": report, "exported": exported, "tables": tables}
+
+def _append_once(spark: SparkSession, rows: DataFrame, path: str, run_id: str) -> None:
+    """Append a run's rows (sample_id, run_id, ...) that are not there yet."""
+    known = _stored(spark, path)
+    if known is not None:
+        rows = rows.join(known.where(F.col("run_id") == run_id).select("sample_id"), "sample_id", "left_anti")
+    rows.write.mode("append").parquet(path)
 
 
 def _all_rows(tables: RunTables) -> DataFrame:
@@ -288,12 +316,15 @@ def _with_events(tables: RunTables) -> DataFrame:
 
 
 def _write_version(spark: SparkSession, path: str, version: str, total: int, approved: int, notes: str) -> None:
+    """Replace the version table; the new state is written aside first, so a lost job can be repeated from it."""
     now = spark.sql("select cast(current_timestamp() as string)").first()[0]
     row = registry.version_row(spark, version, total, approved, notes, now)
-    if _exists(spark, path):
-        # a few rows; read back before the folder is replaced
-        current = materialize(spark.read.parquet(path), "datasets")
-        row = registry.create_version(current, row)
-    row.write.mode("overwrite").parquet(path)
-
-
+    aside = f"{path}_next"
+    known = _stored(spark, aside if _exists(spark, f"{aside}/_SUCCESS") else path)
+    if known is not None:
+        row = registry.create_version(known, row)
+    state = Written(row, "datasets")
+    state.table.write.mode("overwrite").parquet(aside)
+    state.table.write.mode("overwrite").parquet(path)
+    remove_folder(spark, aside)
+    state.drop()

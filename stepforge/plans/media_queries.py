@@ -8,6 +8,7 @@ from stepforge import domains as D
 from stepforge.functions import pixels as X
 from stepforge.operators import screens as S
 from stepforge.operators import skew
+from stepforge.operators.duplicate_index import StoredIndex
 from stepforge.plans import sqlviews as V
 from stepforge.plans.catalog import query
 from stepforge.sources import adapters as A
@@ -160,6 +161,7 @@ def growing_folder(spark, sf):
         spark, f"{base}/in", f"{base}/work", facts, pattern="*.txt", files_per_batch=2, trigger={"availableNow": True}
     )
     q.awaitTermination()
-    kept = spark.read.parquet(f"{base}/work/dedup_index").agg(F.count(F.lit(1)).alias("kept"))
+    index = StoredIndex(spark, f"{base}/work/duplicate_index", "reader")
+    kept = index.rows().agg(F.count(F.lit(1)).alias("kept"))
     scored = spark.read.parquet(f"{base}/work/scored").agg(F.count(F.lit(1))).scalar()
     return kept.select("kept", scored.alias("scored"))

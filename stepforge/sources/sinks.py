@@ -11,14 +11,14 @@ from stepforge import domains as D
 from stepforge.functions import text as T
 
 
-def write_examples(examples: DataFrame, out_dir: str, version: str) -> None:
-    """JSON lines in one folder per stage (``training_stage=...``), replaced per version."""
+def write_examples(examples: DataFrame, out_dir: str, version: str, part: str = "") -> None:
+    """JSON lines in one folder per stage (``training_stage=...``), replaced per version, or per part of it."""
     (
         examples.select(F.col("stage").alias("training_stage"), F.col("line").alias("value"))
         .hint("rebalance", "training_stage")
         .write.mode("overwrite")
         .partitionBy("training_stage")
-        .text(f"{out_dir}/v{version.replace('.', '_')}")
+        .text(f"{out_dir}/v{version.replace('.', '_')}" + (f"/{part}" if part else ""))
     )
 
 

@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepforge.operators import dedup
-from stepforge.plans.factory_run import RunOptions, RunTables, process
+from stepforge.functions import text as T
+from stepforge.operators import export
+from stepforge.plans.factory_run import RunOptions, RunTables, open_index, process, publish
+from stepforge.sources import sinks
 from stepforge.sources.recordings import scan_lines
 from stepforge.storage import exists, temporary
 
@@ -24,10 +26,16 @@ def start_incremental(spark: SparkSession, recordings_dir: str, work_dir: str, f
                       regions: DataFrame | None = None, responses: DataFrame | None = None,
                       options: RunOptions = RunOptions(), pattern: str = "*.jsonl",
                       files_per_batch: int = FILES_PER_BATCH, trigger: dict | None = None,
-                      on_batch: Callable[[RunTables, int], None] | None = None):
-    """Start following ``recordings_dir``; results go to ``work_dir/scored`` and
-    ``work_dir/dedup_index``, one folder per batch so that a repeated batch replaces
-    itself."""
+                      on_batch: Callable[[RunTables, int], None] | None = None,
+                      out_dir: str | None = None, version: str = "1.0.0"):
+    """Start following ``recordings_dir``.
+
+    Each batch leaves what a full run leaves: scores (``work_dir/scored/batch_id=N``), its
+    part of the duplicate index, registry rows, events and membership; with ``out_dir``
+    also training examples (``v.../batch=N``).  A repeated batch replaces itself.  Batches
+    and full runs may share a work folder.
+    """
+    version = T.canonical_version(version)
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
@@ -42,21 +50,18 @@ def start_incremental(spark: SparkSession, recordings_dir: str, work_dir: str, f
         paths = [r.path for r in batch.collect()]  # at most files_per_batch names
         if not paths:
             return
-        index = None
-        if exists(spark, f"{work_dir}/dedup_index"):
-            # one table, whatever the number of batches; a repeated batch does not see itself
-            stored = spark.read.parquet(f"{work_dir}/dedup_index")
-            if "batch_id" in stored.columns:
-                stored = stored.where(F.coalesce(F.col("batch_id").cast("long"), F.lit(-1)) < batch_id).drop("batch_id")
-            index = dedup.migrate_index(stored)
+        run = f"batch-{batch_id:09d}"
         with temporary(spark):
-            tables = process(
-                scan_lines(spark, paths, pattern), facts, regions, options, responses, None, index
-            )
+            index = open_index(spark, work_dir, run, options)
+            stored = f"{work_dir}/annotation_cache"
+            cache = spark.read.parquet(stored) if exists(spark, stored) else None
+            tables = process(scan_lines(spark, paths, pattern), facts, regions, options, responses, cache, index)
             tables.scored.write.mode("overwrite").parquet(f"{work_dir}/scored/batch_id={batch_id}")
-            dedup.index_rows(tables.kept).write.mode("overwrite").parquet(
-                f"{work_dir}/dedup_index/batch_id={batch_id}"
-            )
+            index.add(tables.kept)
+            approved = publish(spark, tables, work_dir, version, run, responses is not None)
+            if out_dir:
+                wanted = approved.where(F.col("training_stage").isin(list(options.export_stages)))
+                sinks.write_examples(export.build_examples(wanted, options.agent_name), out_dir, version, f"batch={batch_id}")
             if on_batch:
                 on_batch(tables, batch_id)
 

@@ -1,11 +1,13 @@
 """Duplicate detection against a plain sequential scan."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from stepforge.operators import dedup as U
+from stepforge.operators.duplicate_index import StoredIndex
 
 SCHEMA = "id string, ord long, sha string, phash string, action string, words array<string>, coordinates array<double>"
 
@@ -169,3 +171,61 @@ def test_pages_of_heads_find_matches_behind_many_distinct_rows(spark, monkeypatc
         if match:
             wanted[r["id"]] = match
     assert set(found) == set(wanted)
+
+
+def drifting(n):
+    """A recording whose every frame is near the next, not the one after."""
+    value, rows = 0, []
+    for i in range(n):
+        rows.append({"id": f"d{i}", "ord": i, "sha": f"s{i}", "phash": f"{value:064x}", "action": "key", "words": ["a"], "coordinates": None})
+        for bit in range(5):
+            value ^= 1 << (i * 37 + bit * 11) % 256
+    return rows
+
+
+def test_a_giant_chain_is_folded_in_segments(spark, monkeypatch):
+    rows = drifting(400) + random_rows(6, 60)
+    writes = []
+    plain = U.materialize
+    monkeypatch.setattr(U, "materialize", lambda df, label="table": writes.append(label) or plain(df, label))
+    got = U.survivors(frame(spark, [dict(r, ord=i) for i, r in enumerate(rows)]), 8, fold_rows=50)
+    want = sequential([dict(r, ord=i) for i, r in enumerate(rows)], 8)
+    assert {r.id for r in got.where("duplicate_of is null").collect()} == want
+    assert writes.count("folded") <= 10
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 5, "bucket_rows": 4}])
+def test_stored_index_equals_one_scan(spark, tmp_path, options):
+    rows = random_rows(9) + drifting(40)
+    rows = [dict(r, ord=i) for i, r in enumerate(rows)]
+    kept, path = set(), str(tmp_path / "index")
+    parts = [rows[:50], rows[50:90], rows[90:]]
+    for n, part in enumerate(parts):
+        index = StoredIndex(spark, path, f"run-{n}", slots=16)
+        got = U.survivors(frame(spark, part), 8, index=index, **options)
+        index.add(got.where("duplicate_of is null"))
+        kept |= {r.id for r in got.where("duplicate_of is null").collect()}
+    assert kept == sequential(rows, 8)
+    stored = {r.id for r in StoredIndex(spark, path, "reader", slots=16).rows().collect()}
+    assert stored == {r["id"] for r in rows if r["id"] in kept and (r["sha"] or r["phash"])}
+    # a part again: no duplicate of itself, nothing stored twice, its own earlier attempt unseen
+    index = StoredIndex(spark, path, "run-2", slots=16)
+    again = U.survivors(frame(spark, parts[2]), 8, index=index, **options).where("duplicate_of is null")
+    assert {r.id for r in again.collect()} == kept & {r["id"] for r in parts[2]}
+    index.add(again)
+    assert StoredIndex(spark, path, "reader", slots=16).rows().count() == len(stored)
+
+
+def test_a_lookup_reads_the_slots_it_hits(spark, tmp_path):
+    index = StoredIndex(spark, str(tmp_path / "index"), "a", slots=64)
+    index.add(frame(spark, random_rows(2)))
+    reader = StoredIndex(spark, str(tmp_path / "index"), "b", slots=64)
+    one = frame(spark, [r for r in random_rows(2) if r["phash"] and r["sha"]][:1])
+    keys = U.coarse_keys(U.prepare(one), 8)
+    hit = reader.hit_slots(keys)
+    found = reader.lookup(keys)
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    filters = re.findall(r"PartitionFilters: \[(.*)\]", plan)
+    assert 1 <= len(hit) <= 10 and any(all(f"{k}" in re.findall(r"\d+", f) for k in hit) and "slot" in f for f in filters)
+    assert one.first().id in {r.id for r in found.collect()}
+    assert reader.rows().count() == frame(spark, random_rows(2)).where("sha is not null or phash is not null").count()

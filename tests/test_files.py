@@ -6,12 +6,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stepforge import domains as D
 from stepforge.functions import pixels as X
 from stepforge.operators import annotate as O
 from stepforge.operators import lineage as L
 from stepforge.operators import normalize as Z
 from stepforge.operators import registry as R
 from stepforge.operators import screens as S
+from stepforge.operators.duplicate_index import StoredIndex
 from stepforge.plans import factory_run as E
 from stepforge.sources import images as I
 from stepforge.sources import recordings as C
@@ -178,7 +180,7 @@ def test_full_run_and_rerun(spark, recorded):
     second = run()
     assert second["metrics"] == m and second["exported"] == first["exported"]
     work = str(recorded / "work")
-    assert spark.read.parquet(f"{work}/dedup_index").count() == 6
+    assert StoredIndex(spark, f"{work}/duplicate_index", "reader").rows().count() == 6
     registry = spark.read.parquet(f"{work}/registry")
     assert registry.count() == 7 and registry.select("sample_id").distinct().count() == 7
     assert spark.read.parquet(f"{work}/datasets").count() == 1
@@ -288,3 +290,56 @@ def test_incremental_equals_batch(spark, recorded):
     assert ids(spark.read.parquet(f"{work}/scored")) == ids(batch.scored)
     drain()
     assert ids(spark.read.parquet(f"{work}/scored")) == ids(batch.scored)
+
+
+@pytest.fixture
+def every_stage(monkeypatch):
+    for stage in D.STAGE_MIN_SCORE:
+        monkeypatch.setitem(D.STAGE_MIN_SCORE, stage, 0.0)
+
+
+def test_runs_and_batches_share_one_index(spark, recorded, every_stage):
+    """A run, two batches, a run again: what was kept once stays known to all of them."""
+    facts = I.image_facts(I.read_files(spark, str(recorded / "shots")), I.read_pixels(spark, str(recorded / "shots")))
+    work, rec = str(recorded / "work"), recorded / "rec"
+    options = E.RunOptions(quality_threshold=0.40, work_dir=work)
+    run = lambda folder: E.run(spark, str(folder), str(recorded / "out"), "1.0.0", options, str(recorded / "shots"))
+    drain = lambda: incremental.start_incremental(
+        spark, str(recorded / "more"), work, facts, options=options, pattern="session_*.jsonl", files_per_batch=1,
+        trigger={"availableNow": True}, out_dir=str(recorded / "out")
+    ).awaitTermination()
+    known = lambda: {(r.run.split("-")[0], r.id) for r in StoredIndex(spark, f"{work}/duplicate_index", "reader").rows().collect()}
+    run(rec)
+    first = known()
+    assert len(first) == 6
+    # the same steps under other names are duplicates of the run's, whatever file they come in
+    more = recorded / "more"
+    more.mkdir()
+    (more / "session_copy_1.jsonl").write_text((rec / "session_email_001.jsonl").read_text())
+    drain()
+    (more / "session_copy_2.jsonl").write_text((rec / "session_browser_001.jsonl").read_text())
+    drain()
+    assert known() == first
+    gated = spark.read.parquet(f"{work}/registry").where("status = 'rejected'")
+    assert gated.where("rejection_reason LIKE 'dedup: Duplicate of %'").count() == 1 + 7
+    again = run(rec)
+    assert again["metrics"]["failed:dedup"] == 1 and known() == first
+    assert spark.read.parquet(f"{work}/lineage").select("run_id").distinct().count() == 4
+    assert spark.read.parquet(f"{work}/membership").select("run_id").distinct().count() == 2
+    assert spark.read.parquet(f"{work}/datasets").first().total_samples == 7 + 7
+
+
+def test_batches_leave_what_a_run_leaves(spark, recorded, every_stage):
+    facts = I.image_facts(I.read_files(spark, str(recorded / "shots")), I.read_pixels(spark, str(recorded / "shots")))
+    options = E.RunOptions(quality_threshold=0.40)
+    E.run(spark, str(recorded / "rec"), str(recorded / "a"), "1.0.0", E.RunOptions(quality_threshold=0.40, work_dir=str(recorded / "run")), str(recorded / "shots"))
+    incremental.start_incremental(
+        spark, str(recorded / "rec"), str(recorded / "batches"), facts, options=options, pattern="session_*.jsonl", files_per_batch=1,
+        trigger={"availableNow": True}, out_dir=str(recorded / "b")
+    ).awaitTermination()
+    table = lambda work, name, *columns: sorted(tuple(r) for r in spark.read.parquet(str(recorded / work / name)).select(*columns).collect())
+    for name, columns in (("registry", ("sample_id", "status", "approved", "training_stage", "quality_score")),
+                          ("lineage", ("sample_id", "seq", "event", "stage", "result")), ("membership", ("sample_id",))):
+        assert table("run", name, *columns) == table("batches", name, *columns)
+    lines = lambda out: sorted(r.value for r in spark.read.option("recursiveFileLookup", "true").text(str(recorded / out / "v1_0_0")).collect())
+    assert lines("a") == lines("b") and lines("a")
