@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepforge import domains as D
-from stepforge.operators import skew
+from stepforge.operators import automaton, skew
+from stepforge.storage import Written, materialize
 
 # ---- fixed values ----
 TOO_FAST_SECONDS = 0.1
@@ -110,25 +111,30 @@ def goal_evidence(samples: DataFrame, min_letters: int = 4) -> DataFrame:
     )
 
 
+STRICT_ROLES = automaton.Automaton(
+    states=("start", "asked", "user", "assistant", "wrong"),
+    moves={
+        ("start", "system"): "asked", ("start", "user"): "user", ("asked", "user"): "user",
+        ("user", "assistant"): "assistant", ("assistant", "user"): "user",
+    },
+    otherwise="wrong",
+)
+
+
 def strict_conversations(turns: DataFrame, parseable: Column) -> DataFrame:
     """Per conversation (conv_id, turn, role): at least three turns, roles in alternation from a
     user on (after an optional system turn), an assistant at the end whose action parses.
     """
-    listed = turns.select("conv_id", F.struct("turn", "role", parseable.alias("ok")).alias("t")).groupBy("conv_id").agg(
-        F.array_sort(F.collect_list("t")).alias("turns")
-    )
-    body = F.when(F.col("turns")[0]["role"] == "system", F.slice("turns", 2, F.size("turns"))).otherwise(F.col("turns"))
-    wrong = F.exists(
-        F.transform("body", lambda t, i: t["role"] != F.when(i % 2 == 0, "user").otherwise("assistant")), lambda w: w
-    )
-    last = F.element_at("turns", -1)
+    ends = automaton.final_states(turns, "conv_id", ["turn"], "role", STRICT_ROLES)
+    last = F.max_by(F.struct("role", parseable.alias("ok")), "turn")
+    facts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), last.alias("last"))
     return (
-        listed.withColumn("body", body)
+        facts.join(ends, "conv_id")
         .select(
             "conv_id",
-            (F.size("turns") >= 3).alias("long_enough"),
-            (~wrong & (F.size("body") > 0)).alias("roles_ok"),
-            ((last["role"] == "assistant") & last["ok"]).alias("action_ok"),
+            (F.col("n") >= 3).alias("long_enough"),
+            F.col("state").isin("user", "assistant").alias("roles_ok"),
+            ((F.col("last.role") == "assistant") & F.col("last.ok")).alias("action_ok"),
         )
         .withColumn("passed", F.col("long_enough") & F.col("roles_ok") & F.col("action_ok"))
     )
@@ -164,23 +170,41 @@ def hash_key(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def quota_sample(rows: DataFrame, stratum: str, quotas: DataFrame, key: str, seed: int = 0) -> DataFrame:
-    """Rows whose hash rank within their stratum is at most the stratum's ``quota``.
+def sample_thresholds(rows: DataFrame, stratum: str, quotas: DataFrame, key: str, seed: int = 0) -> DataFrame:
+    """(stratum, top_hash, top_key): the last place inside each stratum's quota, null where all rows fit.
 
-    ``quotas``: (stratum, quota).  The ranks are counted over 4096 slots of the hash
-    first; only the slot in which a quota ends is ranked row by row.
+    Only summaries are shuffled: rows per (stratum, slot of the hash), and of the slots
+    in which a quota ends the hashes and keys themselves, about a 4096th of a stratum.
     """
-    hashed = rows.join(quotas, stratum).withColumn("_hash", hash_key(key, seed))
+    hashed = rows.select(stratum, F.col(key).alias("_key"), hash_key(key, seed).alias("_hash"))
     slotted = hashed.withColumn("_slot", F.substring("_hash", 1, 3))
     before = Window.partitionBy(stratum).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = slotted.groupBy(stratum, "_slot").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_base", F.coalesce(F.sum("_n").over(before), F.lit(0))
     )
-    placed = slotted.join(slots, [stratum, "_slot"])
-    whole = placed.where("_base + _n <= quota")
-    rank = F.row_number().over(Window.partitionBy(stratum, "_slot").orderBy("_hash", key))
-    edge = placed.where("_base < quota AND _base + _n > quota").withColumn("_rank", rank).where("_base + _rank <= quota")
-    return whole.select(*rows.columns).unionByName(edge.select(*rows.columns))
+    ends = materialize(
+        quotas.join(slots, stratum).where("_base <= quota AND _base + _n > quota").select(stratum, "_slot", (F.col("quota") - F.col("_base")).alias("_rest")),
+        "ends",
+    )
+    edge = slotted.join(ends, [stratum, "_slot"])
+    rank = F.row_number().over(Window.partitionBy(stratum).orderBy("_hash", "_key"))
+    last = edge.withColumn("_rank", rank).where(F.col("_rank") == F.col("_rest")).select(stratum, F.struct("_hash", "_key").alias("_last"))
+    first = F.struct(F.col("_slot").alias("_hash"), F.lit(None).cast(rows.schema[key].dataType).alias("_key"))
+    cut = ends.join(last, stratum, "left").select(stratum, F.coalesce("_last", first).alias("_top"))
+    full = quotas.join(cut, stratum, "left")
+    return materialize(full.select(stratum, F.col("_top._hash").alias("top_hash"), F.col("_top._key").alias("top_key")), "thresholds")
+
+
+def quota_sample(rows: DataFrame, stratum: str, quotas: DataFrame, key: str, seed: int = 0) -> DataFrame:
+    """Rows whose hash rank within their stratum is at most the stratum's ``quota``.
+
+    ``quotas``: (stratum, quota).  The rows meet one threshold per stratum, a table of
+    known size, and are not shuffled where that is small.  Rows of equal key stay together.
+    """
+    limits = sample_thresholds(rows, stratum, quotas, key, seed)
+    place = hash_key(key, seed)
+    inside = F.col("top_hash").isNull() | (place < F.col("top_hash")) | ((place == F.col("top_hash")) & (F.col(key) <= F.col("top_key")))
+    return rows.join(limits, stratum).where(inside).select(*rows.columns)
 
 
 def balance(rows: DataFrame, stratum: str, shares: dict[str, float], key: str, seed: int = 0) -> DataFrame:
@@ -205,6 +229,31 @@ def annotation_queue(rows: DataFrame, confidence: str, limit: int, key: str) ->
     return rows.orderBy(confidence, key).limit(limit)
 
 
-def write_shards(rows: DataFrame, path: str, shard_rows: int = SHARD_ROWS) -> None:
-    """Parquet files of at most ``shard_rows`` rows."""
-    rows.write.option("maxRecordsPerFile", shard_rows).parquet(path)
+def write_shards(rows: DataFrame, key: str, path: str, shard_rows: int = SHARD_ROWS) -> None:
+    """One Parquet file per ``shard=N`` with exactly ``shard_rows`` rows in order of the key; the last has the rest.
+
+    Places come from the sorted ranges: the ranges' sizes, one row each, are summed up,
+    so any number of tasks gives the same shards.
+    """
+    placed = Written(
+        rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id()), "placed"
+    )
+    ranges = placed.table.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    sharded = placed.table.withColumn("_range", F.shiftright("_at", 33)).join(materialize(bases, "ranges"), "_range")
+    sharded = sharded.withColumn("_place", place).withColumn("shard", F.floor(F.col("_place") / shard_rows))
+    dealt = sharded.repartition("shard").sortWithinPartitions("shard", "_place")
+    dealt.select(*rows.columns, "shard").write.partitionBy("shard").parquet(path)
+    placed.drop()
+
+
+def shard_manifest(shards: DataFrame, key: str, digest: Column) -> DataFrame:
+    """Per shard: rows, first and last key, files, and the digest of its rows' digests in order."""
+    listed = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), digest.alias("d"))))  # a shard's rows, bounded
+    return shards.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("first_key"), F.max(key).alias("last_key"),
+        F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: x["d"]), ""), 256).alias("digest"),
+    )

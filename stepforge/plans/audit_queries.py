@@ -123,14 +123,20 @@ def uncertain(spark, sf):
     return audit.annotation_queue(scored, "mean_confidence", 100, "sample_id")
 
 
-@query("X12", "SELECT doc_id, lang, source, n_chars, true AS bounded FROM documents")
+_SHARD = 300
+
+
+@query("X12", f"""
+WITH placed AS (SELECT doc_id, md5(concat_ws('|', doc_id, lang, source, n_chars)) AS d, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents)
+SELECT place // {_SHARD} AS shard, count(*) AS n_rows, min(doc_id) AS first_key, max(doc_id) AS last_key, 1::BIGINT AS n_files,
+  sha256(string_agg(d, '' ORDER BY place)) AS digest FROM placed GROUP BY 1""")
 def shards(spark, sf):
-    """Released in files of at most 10,000 rows and read back with the size of each row's file."""
+    """Released in shards of exactly 300 rows and read back from the files: all full but the last."""
     path = new_folder(spark, "release")
-    audit.write_shards(A.table(spark, sf, "documents"), path)
-    back = spark.read.parquet(path).select("doc_id", "lang", "source", "n_chars", F.col("_metadata.file_path").alias("file"))
-    sizes = back.groupBy("file").agg((F.count(F.lit(1)) <= audit.SHARD_ROWS).alias("bounded"))
-    return back.join(sizes, "file").drop("file")
+    audit.write_shards(A.table(spark, sf, "documents"), "doc_id", path, _SHARD)
+    digest = F.md5(F.concat_ws("|", *(F.col(x).cast("string") for x in ("doc_id", "lang", "source", "n_chars"))))
+    read = spark.read.parquet(path)
+    return audit.shard_manifest(read.withColumn("shard", F.col("shard").cast("long")), "doc_id", digest)
 
 
 _OUTPUTS = """outputs_v AS (SELECT *, CASE WHEN role = 'system' THEN 'x' WHEN m IN (0, 1, 2) THEN 'x' WHEN m <> 3 AND x > 1 THEN 'x' END AS error FROM (
