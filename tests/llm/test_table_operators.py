@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -238,11 +239,13 @@ def test_near_duplicates_on_odd_rows(spark):
 # op10
 
 def plain_alignment(item, part):
-    table = np.zeros((len(item) + 1, len(part) + 1), int)
-    for i in range(1, len(item) + 1):
-        for j in range(1, len(part) + 1):
-            table[i, j] = max(0, table[i - 1, j - 1] + (2 if item[i - 1] == part[j - 1] else -1), table[i - 1, j] - 1, table[i, j - 1] - 1)
-    return table.max() / (2 * len(item))
+    above, best = [0] * (len(part) + 1), 0
+    for word in item:
+        row = [0]
+        for j, other in enumerate(part):
+            row.append(max(0, above[j] + (2 if word == other else -1), above[j + 1] - 1, row[j] - 1))
+        best, above = max(best, max(row)), row
+    return best / (2 * len(item))
 
 
 @settings(deadline=None)
@@ -285,6 +288,66 @@ def test_edited_copies_in_many_documents_are_found(spark):
         assert all(abs(r["score"] - 0.71) < 0.02 for r in found if r["doc_id"] < 100)
 
 
+def plain_words(text):
+    return [w for w in re.split(r"[^0-9A-Za-z\x80-\U0010ffff]+", text.lower()) if w]
+
+
+def damaged_copy(rnd, item):
+    """The item with words put in, taken out, replaced, by one of several habits."""
+    habit, out = rnd.randrange(5), []
+    every = rnd.randint(2, 6)
+    for i, w in enumerate(item):
+        if i % every == every - 1 and habit == 0:
+            out += [w, f"in{rnd.randrange(9)}"]
+        elif i % every == every - 1 and habit == 1:
+            continue
+        elif rnd.random() < 0.25 and habit == 2:
+            out += [f"other{rnd.randrange(9)}"]
+        elif rnd.random() < 0.2 and habit == 3:
+            out += rnd.choice([[], [w, w], ["x", w], ["y"]])
+        else:
+            out.append(w)
+    return out
+
+
+def test_matches_equal_aligning_everything(spark):
+    rnd = random.Random(8)
+    vocabulary = [*lettered(1, 60), *["the", "of", "and"] * 8]
+    items = [[rnd.choice(vocabulary) for _ in range(rnd.choice([3, 4, 5, 6, 8, 10, 15, 25, 40]))] for _ in range(40)]
+    rows = []
+    for i in range(160):
+        parts = [[rnd.choice(vocabulary) for _ in range(rnd.randint(0, 60))] for _ in range(3)]
+        copies = [damaged_copy(rnd, rnd.choice(items)) for _ in range(2)] if i % 4 else []
+        rows.append((i, " ".join(w for part in (parts + copies if i % 2 else copies + parts) for w in part)))
+    spread = [w for k, w in enumerate(items[-1]) for w in ([w, f"put{k}"] if k % 2 else [w])]
+    rows += [(1000 + i, " ".join(spread)) for i in range(30)]  # the common pairs are the unbroken ones
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {}
+    for d, text in rows:
+        part = plain_words(text)
+        for i, item in enumerate(items):
+            score = plain_alignment(item, part)
+            points = 2 * len(item) * score
+            if points >= max(1.2 * len(item), min(2 * len(item), 10)) - 1e-9:
+                want[d, i] = score
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.matches(docs, bench).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert len(want) > 150 and sum(v < 0.8 for v in want.values()) > 20
+
+
+def test_very_long_texts_and_items_are_aligned_in_bounded_windows(spark):
+    item, long_item = lettered(4, 40), lettered(5, 5000)
+    text = " ".join([*lettered(6, 500_000), *item * 200, *lettered(7, 500_000)])
+    cut = " ".join([*lettered(8, 1000), *(w for k, w in enumerate(long_item) if k % 7), *lettered(9, 1000)])
+    docs = spark.createDataFrame([(1, text), (2, cut)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(long_item))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontaminate.matches(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1] == 1 and 0.7 < got[2, 2] < 0.9
+    parts = list(decontaminate.windows(np.arange(0, 8000, 40), 40, 0.6, 10_000))
+    assert max(b - a for a, b in parts) <= 12 * 40 and len(parts) > 20
+
+
 def test_decontamination_on_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)  # more blocks than one
     bench = spark.createDataFrame([(1, " ".join(lettered(2, 40))), (1, " ".join(lettered(2, 40))), (None, "a b c d")], "item_id long, text string")
