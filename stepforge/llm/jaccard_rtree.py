@@ -618,12 +618,17 @@ def _label(info: DataFrame, comp: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays.
 
-    Rows equal in id and text are one document; rows with a null id always stay.
+    Null ids come last; rows of one id go by the hash of their text.  Rows equal in id
+    and text are one document.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     own = dict(zip(docs.columns, names))
-    kept = link(docs, percent).select(F.col("component_id").alias("kept_id")).distinct()
-    plain = docs.toDF(*names)
-    key = F.col(own["doc_id"]).cast("long")
-    named = plain.join(kept, key == F.col("kept_id"), "left_semi").dropDuplicates([own["doc_id"], own["text"]])
-    return named.union(plain.where(key.isNull())).toDF(*docs.columns)
+    doc_id, text = F.col(own["doc_id"]).cast("long"), F.col(own["text"])
+    # rows are told apart by id and text, as one id may have several texts, or be null
+    plain = docs.toDF(*names).withColumn("row_key", F.xxhash64(doc_id, text))
+    linked = link(plain.select(F.col("row_key").alias("doc_id"), text.alias("text")), percent)
+    components_of = linked.select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    place = F.struct(doc_id.isNull(), doc_id, F.xxhash64(text), "row_key")
+    first = plain.select("row_key", place.alias("place")).join(components_of, "row_key").groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = first.select(F.col("place.row_key").alias("row_key"))
+    return plain.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*names).toDF(*docs.columns)
