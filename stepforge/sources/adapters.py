@@ -2,7 +2,7 @@
 
 ``steps`` from events, ``samples`` from documents and labels, ``conversation_sizes`` from
 conversations, ``hashes`` from documents, ``frames`` from embeddings, and file
-listings from pages.  Each definition has an equal SQL text in ``plans.oracles``.
+listings from pages.  Each definition has an equal SQL text in ``plans.sqlviews``.
 """
 
 from __future__ import annotations
