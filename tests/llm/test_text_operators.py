@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -36,10 +37,75 @@ def test_words_of_a_slice_are_those_of_each_text(texts):
 
 # op1
 
-def test_lines_join_templates_by_similarity():
-    lines = [x.split() for x in ("user anna signed in here", "user bert signed in here", "the end of the story")]
-    chosen, made = line_templates.grow(lines)
-    assert chosen == [0, 0, 1] and made[0] == ["user", "<*>", "signed", "in", "here"]
+def plain_templates(docs, min_docs):
+    """Dropped line numbers per (doc_id, text), with every two lines of a leaf compared, and the spelled templates."""
+    lines = defaultdict(list)  # (size, leading words) -> [(doc_id, text, number, masked words)]
+    for doc_id, text in {(d, t) for d, t in docs if t}:
+        for number, line in enumerate(text.split("\n")):
+            masked = ["<*>" if re.search("[0-9@]|://", w) else w for w in words(line)]
+            if masked:
+                lines[len(masked), *masked[: line_templates.DEPTH]].append((doc_id, text, number, masked))
+    dropped, spelled = defaultdict(set), set()
+    for leaf, rows in lines.items():
+        left = list(rows)
+        while left:
+            group = [left.pop()]
+            for row in group:
+                near = [r for r in left if 100 * sum(map(str.__eq__, row[3], r[3])) >= line_templates.SIMILAR * leaf[0]]
+                left = [r for r in left if r not in near]
+                group += near
+            ids = {r[0] for r in group}
+            if len(ids) >= (line_templates.LONG_DOCS if leaf[0] > line_templates.LONG_WORDS else min_docs):
+                spelled.add(" ".join(w[0] if len(set(w)) == 1 else "<*>" for w in zip(*(r[3] for r in group))))
+                keeper = min(i for i in ids if i is not None) if ids != {None} else None
+                for doc_id, text, number, _ in group:
+                    if doc_id != keeper or keeper is None:
+                        dropped[doc_id, text].add(number)
+    return dropped, spelled
+
+
+def near_lines(seed, n_docs, width):
+    """Documents of lines that are changed copies of a few: in one leaf, in leaves of few free words, long, with fields."""
+    draw = random.Random(seed)
+    base = [[*lettered(1, 4), *lettered(2 + k % 2, width + (k % 3))] for k in range(5)] + [lettered(9, 60), lettered(10, 5)]
+    out = []
+    for i in range(n_docs):
+        texts = []
+        for _ in range(draw.randint(1, 3)):
+            line = list(draw.choice(base))
+            for _ in range(draw.randint(0, len(line) // 2)):
+                line[draw.randrange(4 if len(line) < 60 else 0, len(line))] = draw.choice(["x", "y", "n7", "a@b", *lettered(4, 20)])
+            texts.append(" ".join(line))
+        out.append((None if i % 17 == 5 else i // 2 * 2 if i % 19 == 7 else i, "\n".join(texts)))
+    return out
+
+
+@pytest.mark.parametrize("rows, share", [(8_192, 500_000), (7, 500_000), (1, 200)])
+def test_templates_equal_all_pairs_for_any_block(spark, monkeypatch, rows, share):
+    monkeypatch.setattr(line_templates, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(line_templates, "BLOCK_WORDS", share)
+    docs = near_lines(3, 120, 9)
+    judged, templates = line_templates.recurring(spark.createDataFrame(docs, "doc_id long, text string"), min_docs=3)
+    dropped, spelled = plain_templates(docs, 3)
+    keys = {r["key"]: (r["doc_id"], r["text"]) for r in spark.createDataFrame(docs, "doc_id long, text string").withColumn(
+        "key", F.struct("doc_id", F.xxhash64("text").alias("text_key"))).collect()}
+    got = {keys[r["doc_id"], r["text_key"]]: set(r["dropped"]) for r in judged.collect()}
+    assert {k: v for k, v in got.items() if v} == dict(dropped)
+    assert {r["spelled"] for r in templates.collect()} == spelled and any("<*>" in x for x in spelled)
+
+
+def test_a_chain_of_similar_lines_is_one_template(spark, monkeypatch):
+    monkeypatch.setattr(line_templates, "BLOCK_ROWS", 8)
+    base, other = lettered(11, 60), lettered(12, 60)
+    chain = [" ".join(other[:k] + base[k:40]) for k in range(4, 40)]
+    chain = [" ".join(["one", "two", "three", "four", *x.split()]) for x in chain]
+    docs = spark.createDataFrame(list(enumerate(chain)), "doc_id long, text string")
+    assert [r["n_dropped"] for r in line_templates.clean(docs).orderBy("doc_id").collect()] == [0] + [1] * 35
+
+
+def test_lines_linked_by_steps_have_one_first_line():
+    table = np.array([[1, 2, 3, 4, 5], [1, 2, 3, 9, 9], [8, 2, 9, 9, 9], [8, 8, 9, 9, 9], [7, 7, 7, 7, 7]], np.int32)
+    assert line_templates.linked(table).tolist() == [0, 0, 0, 0, 4]
 
 
 def test_recurring_templates_are_dropped(spark):
@@ -62,17 +128,17 @@ def test_variable_words_recur_as_one_template(spark):
 def test_long_lines_recur_from_two_documents_on(spark):
     own = lambda i: " ".join(lettered(100 + i, 12))
     passage = " ".join([*lettered(7, 58), "in", "2024"])
-    other = passage.replace("2024", "1999")  # not the same words
+    other = passage.replace("2024", "1999")  # the same but for a field
     short = " ".join(lettered(8, 50))
     rows = [(1, f"{own(1)}\n{passage}\n{short}"), (2, f"{passage}\n{own(2)}\n{short}"), (3, f"{own(3)}\n{other}"), (None, passage)]
     got = {r["doc_id"]: r for r in line_templates.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got[1]["text"] == rows[0][1] and got[3]["text"] == rows[2][1]
+    assert got[1]["text"] == rows[0][1] and got[3]["text"] == own(3)
     assert got[2]["text"] == f"{own(2)}\n{short}" and got[2]["n_dropped"] == 1
     assert got[None]["text"] == "" and got[None]["n_dropped"] == 1
 
 
 def test_similar_lines_of_a_large_leaf_meet(spark, monkeypatch):
-    monkeypatch.setattr(line_templates, "LEAF_LINES", 8)
+    monkeypatch.setattr(line_templates, "BLOCK_ROWS", 8)
     lead, base = "log of the day", lettered(3, 8)
     varied = [" ".join([lead, *(f"x{'abcdefghijkl'[i]}" if k == i % 3 else w for k, w in enumerate(base))]) for i in range(12)]
     rows = list(enumerate(varied)) + [(100 + i, f"{lead} {' '.join(lettered(20 + i, 8))}") for i in range(60)]
