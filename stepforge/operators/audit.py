@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepforge import domains as D
+from stepforge.functions import personal
 from stepforge.operators import automaton, skew
 from stepforge.storage import Written, materialize
 
@@ -24,23 +25,10 @@ EXPERT_SHARE = 0.05
 SCREEN = (1920, 1080)
 STRICT_WIDTH, STRICT_HEIGHT, STRICT_KB, STRICT_REGIONS = 800, 600, 50, 2
 
-# Patterns without look-around, so that any regular-expression engine reads them alike.
-PERSONAL = {
-    "has_email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "has_phone": r"(^|[^0-9])(\+[0-9]{1,3}[ .-]?)?(\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}($|[^0-9])",
-    "has_card": r"(^|[^0-9])[0-9]{4}([ -]?[0-9]{4}){3}($|[^0-9])",
-    "has_address": r"(^|[^0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}($|[^0-9.])",
-    "has_secret": r"(?i)(password|passwd|api[_-]?key|secret[_-]?key)[\"']? ?[:=] ?[^ \n]{4,}",
-}
-
 
 def personal_data(text: Column) -> list[Column]:
     """One flag per kind and ``no_pii``; a null text holds nothing."""
-    flags = {k: F.coalesce(F.regexp_like(text, F.lit(p)), F.lit(False)) for k, p in PERSONAL.items()}
-    found = F.lit(False)
-    for flag in flags.values():
-        found = found | flag
-    return [*[flag.alias(k) for k, flag in flags.items()], (~found).alias("no_pii")]
+    return [*[flag.alias(k) for k, flag in personal.flags(text).items()], personal.none_found(text).alias("no_pii")]
 
 
 def _followed(steps: DataFrame, columns: list[str]) -> DataFrame:

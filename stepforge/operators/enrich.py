@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stepforge.functions import personal
 from stepforge.functions import regions as R
 from stepforge.functions import scoring as S
 from stepforge.functions import text as T
@@ -105,6 +106,13 @@ def score(df: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def add_personal_flag(df: DataFrame) -> DataFrame:
+    """``no_pii``: neither the step's own words, its reasoning nor its screen text hold personal data."""
+    screen = R.joined_text(F.col("regions"), F.col("ocr_text_raw"))
+    own = [F.col(x) for x in ("task", "description", "text", "reasoning")]
+    return df.withColumn("no_pii", personal.none_found(*own, screen))
+
+
 def route(df: DataFrame) -> DataFrame:
     c = F.col
     stage = S.route_stage(

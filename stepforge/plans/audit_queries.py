@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stepforge.functions import parsing as P
+from stepforge.functions import personal as personal_findings
 from stepforge.operators import audit, semantic
 from stepforge.plans import shared
 from stepforge.plans import sqlviews as V
@@ -13,9 +14,8 @@ from stepforge.sources import adapters as A
 from stepforge.sources import recordings
 from stepforge.storage import new_folder
 
-_FLAGS = ", ".join(
-    f"coalesce(regexp_matches(text, {V.lit(p)}), false) AS {name}" for name, p in audit.PERSONAL.items()
-)
+_PERSONAL = V.personal("text")
+_FLAGS = ", ".join(f"{test} AS {name}" for name, test in _PERSONAL.items())
 
 
 @query("X2", """
@@ -61,11 +61,23 @@ def logic(spark, sf):
     return audit.logic_gate(A.steps(spark, sf))
 
 
-@query("X7", f"SELECT *, NOT ({' OR '.join(audit.PERSONAL)}) AS no_pii FROM (SELECT doc_id, {_FLAGS} FROM documents)")
+@query("X7", f"SELECT *, NOT ({' OR '.join(_PERSONAL)}) AS no_pii FROM (SELECT doc_id, {_FLAGS} FROM documents)")
 def personal(spark, sf):
     return A.table(spark, sf, "documents").select("doc_id", *audit.personal_data(F.col("text")))
 
 
+@query("X7_masks")
+def personal_masks(spark, sf):
+    """Texts with personal data, masked: what was found, and that nothing is left."""
+    d = A.table(spark, sf, "documents").select("doc_id", "text")
+    found = personal_findings.findings(d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_findings"), F.array_sort(F.collect_set("kind")).alias("kinds"))
+    masked = d.where(~personal_findings.none_found(F.col("text"))).select("doc_id", personal_findings.masked_text(F.col("text")).alias("masked"))
+    return masked.join(found, "doc_id").select(
+        "doc_id", "n_findings", F.array_join("kinds", ",").alias("kinds"), F.sha2("masked", 256).alias("masked_sha256"),
+        personal_findings.none_found(F.col("masked")).alias("clean"),
+    )
+
+
 @query("X8", V.with_view(V.SAMPLES, """
 SELECT sample_id, CASE WHEN doc_id % 5 = 0 THEN 'removed' WHEN doc_id % 7 = 0 THEN 'added' WHEN toxic = 1 AND task <> 'Quit' THEN 'changed' ELSE 'same' END AS change
 FROM samples_v WHERE NOT (doc_id % 5 = 0 AND doc_id % 7 = 0)"""))

@@ -28,6 +28,7 @@ class RunOptions:
     near_distance: int = D.NEAR_DISTANCE
     agent_name: str = D.AGENT_NAME
     dataset_prefix: str = "steps"
+    find_personal_data: bool = True  # False: no step loses validation points for it
     work_dir: str = "data/work"
     export_stages: tuple[str, ...] = tuple(D.EXPORT_STAGES)
 
@@ -123,10 +124,10 @@ def process(lines: DataFrame, facts: DataFrame, regions: DataFrame | None = None
     labelled = (
         labelled.withColumn("image_valid", ~F.exists("warnings", lambda w: w.startswith("image: ")))
         .withColumn("coordinates_valid", F.lit(True))
-        .withColumn("no_pii", F.lit(True))
         .withColumn("not_duplicate", F.lit(True))
         .withColumn("is_error_step", F.lit(False))
     )
+    labelled = enrich.add_personal_flag(labelled) if options.find_personal_data else labelled.withColumn("no_pii", F.lit(True))
     scored = materialize(enrich.route(enrich.score(labelled, options.quality_threshold)), "scored")
     labelled_lines = rows.select(c("ingest_error").isNull().alias("ingested")).unionByName(
         parsed.where("line_kind <> 'parsed'").select(F.lit(False).alias("ingested"))

@@ -72,7 +72,6 @@ def finish(enriched: DataFrame, threshold: float = D.QUALITY_THRESHOLD) -> DataF
     flags = (
         enriched.withColumn("image_valid", ~F.exists("warnings", lambda w: w.startswith("image: ")))
         .withColumn("coordinates_valid", F.lit(True))
-        .withColumn("no_pii", F.lit(True))
         .withColumn("not_duplicate", F.lit(True))
     )
-    return enrich.route(enrich.score(flags, threshold))
+    return enrich.route(enrich.score(enrich.add_personal_flag(flags), threshold))

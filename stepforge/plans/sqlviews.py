@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from stepforge import domains as D
+from stepforge.functions import personal as PD
 from stepforge.sources.adapters import SAMPLE_ACTIONS, TASKS
 
 
@@ -192,12 +193,37 @@ enriched_v AS (
     FROM (SELECT *, CASE WHEN path IS NULL THEN [] ELSE {clean_regions('regions')} END AS cleaned,
         {tags('task', 'action_type')} AS base_tags FROM gated_v WHERE gate_status <> 'rejected')))"""
 
+def personal(text: str) -> dict[str, str]:
+    """One test per kind of personal data, see ``functions.personal``."""
+    runs = lambda pattern: f"regexp_extract_all({text}, {lit(pattern)})"
+    some = lambda x: f"coalesce(len({x}) > 0, false)"
+    groups = "string_split_regex(run, '[ -]')"
+    sized = lambda n, sizes: f"""list_transform(list_filter(range(1, len({groups}) + 1), lambda i:
+        list_transform({groups}[i:i + {n - 1}], lambda p: length(p))::BIGINT[] = {sizes}::BIGINT[]), lambda i: array_to_string({groups}[i:i + {n - 1}], ''))"""
+    cards = f"""flatten(list_transform({runs(PD.DIGITS)}, lambda run: list_concat(list_concat(
+        list_filter({groups}, lambda p: length(p) BETWEEN 13 AND 19), {sized(4, '[4, 4, 4, 4]')}), {sized(3, '[4, 6, 5]')})))"""
+    luhn = """list_sum(list_transform(string_split(reverse(x), ''), lambda d, i: CASE WHEN i % 2 = 1 THEN d::INT
+        ELSE d::INT * 2 - CASE WHEN d::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+    accounts = f"""flatten(list_transform({runs(PD.ACCOUNT)}, lambda run: [replace(run, ' ', ''), replace(regexp_replace(run, ' [A-Z0-9]{{1,4}}$', ''), ' ', '')]))"""
+    mod97 = """list_reduce(list_transform(string_split(x[5:] || x[1:4], ''), lambda d: ascii(d)::BIGINT),
+        lambda a, d: CASE WHEN d < 65 THEN a * 10 + d - 48 ELSE a * 100 + d - 55 END % 97, 0::BIGINT) = 1"""
+    parts = "string_split(run, '.')"
+    return {
+        "has_email": f"coalesce(regexp_matches({text}, {lit(PD.EMAIL)}), false)",
+        "has_phone": f"coalesce(regexp_matches({text}, {lit(PD.PHONE)}), false)",
+        "has_card": some(f"list_filter({cards}, lambda x: regexp_matches(x, '^[2-6]') AND {luhn})"),
+        "has_account": some(f"list_filter({accounts}, lambda x: length(x) BETWEEN 15 AND 34 AND {mod97})"),
+        "has_address": some(f"list_filter({runs(PD.DOTTED)}, lambda run: len({parts}) = 4 AND len(list_filter({parts}, lambda p: length(p) > 3 OR try_cast(p AS BIGINT) > 255)) = 0)"),
+        "has_secret": f"coalesce(regexp_matches({text}, {lit(PD.SECRET)}), false)",
+    }
+
+
 SCORE_TAIL = f""",
 scored_v AS (
   SELECT *, greatest(0::DOUBLE, least(1::DOUBLE, 0.30::DOUBLE * validation_score + 0.35::DOUBLE * reasoning_score
       + 0.20::DOUBLE * ocr_score + 0.15::DOUBLE * diversity_score)) AS composite
   FROM (SELECT *,
-    (CASE WHEN gate_status = 'enriching' THEN 5 ELSE 3 END) / 5::DOUBLE AS validation_score,
+    (CASE WHEN gate_status = 'enriching' THEN 5 ELSE 3 END - CASE WHEN {' OR '.join(personal('pii_text').values())} THEN 1 ELSE 0 END) / 5::DOUBLE AS validation_score,
     CASE WHEN reasoning = '' THEN CASE WHEN length({strip('description')}) > 5 THEN 0.25::DOUBLE ELSE 0::DOUBLE END
       ELSE least(1::DOUBLE, CASE WHEN length({strip('description')}) > 5 THEN 0.25::DOUBLE ELSE 0::DOUBLE END
         + CASE WHEN length({strip('reasoning')}) > 10 THEN 0.25::DOUBLE ELSE 0::DOUBLE END
@@ -214,7 +240,7 @@ scored_v AS (
       + CASE WHEN len({language_tags('base_tags', 'all_text', 'language')}) >= 3 THEN 0.1::DOUBLE ELSE 0::DOUBLE END
       + CASE WHEN action_type IN ('type','right_click','key','scroll') THEN 0.1::DOUBLE ELSE 0::DOUBLE END) AS diversity_score,
     {language_tags('base_tags', 'all_text', 'language')} AS tags
-  FROM enriched_v)),
+  FROM (SELECT *, concat_ws(chr(10), task, description, text, reasoning, all_text) AS pii_text FROM enriched_v))),
 routed_v AS (
   SELECT *, round(composite, 4) AS quality_score, composite >= 0.65::DOUBLE AS approved,
     CASE WHEN composite < 0.65::DOUBLE THEN ''
