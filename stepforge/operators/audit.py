@@ -33,7 +33,7 @@ def personal_data(text: Column) -> list[Column]:
 
 def _followed(steps: DataFrame, columns: list[str]) -> DataFrame:
     """Steps (session_id, ts, event_id, ...) with the step after each as ``next``."""
-    placed = skew.in_order(steps, ["ts", "event_id"], skew.minute_part(F.col("ts")), columns, 1)
+    placed = skew.in_order(steps, ["ts", "event_id"], columns, 1)
     return placed.withColumn("next", F.get("following", 0))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # A key with more rows than this is split.  The list of such keys is broadcast; it
 # can never hold more than (all rows / HOT_ROWS) entries.
 HOT_ROWS = 2_000_000
+CUT_SAMPLES = 20  # sampled rows for each part of a hot session
 
 
 def attach_per_key(rows: DataFrame, per_key: DataFrame, key: str, row_id: str,
@@ -48,25 +49,39 @@ def split_counts(keyed: DataFrame, key: str = "key", hot_rows: int = HOT_ROWS) -
     )
 
 
-def in_order(steps: DataFrame, order: Sequence[str], part: Column, payload: Sequence[str],
+def _cut_points(steps: DataFrame, order: Sequence[str], session: str, hot_rows: int) -> DataFrame:
+    """(session, _cuts): for each hot session, order values that cut it into parts of about ``hot_rows`` rows.
+
+    Every ``CUT_SAMPLES``-th value of a sample of the session; rows are drawn by their
+    hash, so a task that runs again draws the same.  All samples together are at most
+    about ``CUT_SAMPLES`` for every ``hot_rows`` rows.
+    """
+    hot = steps.groupBy(session).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    drawn = F.pmod(F.xxhash64(*order), F.col("_n")) < CUT_SAMPLES * F.ceil(F.col("_n") / hot_rows)
+    sample = steps.join(F.broadcast(hot), session).where(drawn).groupBy(session).agg(
+        F.array_sort(F.collect_list(F.struct(*order))).alias("_sample")
+    )
+    cuts = F.filter("_sample", lambda _, i: (i + 1) % CUT_SAMPLES == 0)
+    return hot.join(sample, session, "left").select(session, F.coalesce(cuts, F.array()).alias("_cuts"))
+
+
+def in_order(steps: DataFrame, order: Sequence[str], payload: Sequence[str],
              lookahead: int, session: str = "session_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``pos`` (0-based place in the session) and ``following`` (the next rows).
 
     ``following`` is an array of up to ``lookahead`` payload structs.  A normal
-    session is one window group.  A hot session is cut by ``part`` - a value that
-    never decreases along the order, such as the minute or a line range - and each
-    part is a group of its own; the rows lost at a part's end are supplied from the
-    first ``lookahead`` rows of the parts after it, which are few.
+    session is one window group.  A hot session is cut at quantiles of its order
+    values, so a minute that holds millions of steps is cut as well, and each part is
+    a group of its own; the rows lost at a part's end are supplied from the first
+    ``lookahead`` rows of the parts after it, which are few.  Only rows equal in all
+    of ``order`` stay together.
     """
-    hot = (
-        steps.groupBy(session)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(session, F.lit(True).alias("_is_hot"))
-    )
+    hot = _cut_points(steps, order, session, hot_rows)
     item = F.struct(*payload)
-    marked = steps.join(F.broadcast(hot), session, "left").withColumn(
-        "_part", F.when(F.col("_is_hot"), part.cast("long")).otherwise(F.lit(0).cast("long"))
+    before = F.size(F.filter("_cuts", lambda cut: cut <= F.struct(*order))).cast("long")
+    marked = (
+        steps.join(F.broadcast(hot), session, "left").withColumn("_is_hot", F.col("_cuts").isNotNull())
+        .withColumn("_part", F.when(F.col("_is_hot"), before).otherwise(F.lit(0).cast("long"))).drop("_cuts")
     )
     group = Window.partitionBy(session, "_part").orderBy(*order)
     placed = marked.withColumn("_rank", F.row_number().over(group))
@@ -113,12 +128,3 @@ def in_order(steps: DataFrame, order: Sequence[str], part: Column, payload: Sequ
         columns.append("following")
     return out.select(*columns)
 
-
-def minute_part(ts: Column) -> Column:
-    """Part for time-ordered sessions."""
-    return F.floor(F.unix_timestamp(ts.cast("timestamp")) / 60)
-
-
-def line_part(line_number: Column, lines: int = HOT_ROWS) -> Column:
-    """Part for file-ordered sessions."""
-    return F.floor(line_number / lines)

@@ -44,7 +44,7 @@ diff_v AS (
 def placed(spark, sf):
     """Frames with their place; only the key columns go through the numbering."""
     f = A.frames(spark, sf)
-    keys = skew.in_order(f.select("session_id", "vec_id"), ["vec_id"], skew.line_part(c("vec_id")), [], 0)
+    keys = skew.in_order(f.select("session_id", "vec_id"), ["vec_id"], [], 0)
     return keys.join(f.drop("session_id"), "vec_id")
 
 

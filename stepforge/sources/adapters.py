@@ -73,7 +73,7 @@ def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def placed_steps(spark: SparkSession, sf_dir: str, lookahead: int = LOOKAHEAD) -> DataFrame:
     """Steps with their place in the session and the steps that follow."""
     return skew.in_order(
-        steps(spark, sf_dir), ["ts", "event_id"], skew.minute_part(F.col("ts")), PAYLOAD, lookahead
+        steps(spark, sf_dir), ["ts", "event_id"], PAYLOAD, lookahead
     )
 
 

@@ -29,8 +29,8 @@ def steps(spark, cases=CASES):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def flagged(df, hot_rows=skew.HOT_ROWS, lines=1000):
-    placed = skew.in_order(df, ["line"], skew.line_part(F.col("line"), lines), R.PAYLOAD, R.LOOKAHEAD, hot_rows=hot_rows)
+def flagged(df, hot_rows=skew.HOT_ROWS):
+    placed = skew.in_order(df, ["line"], R.PAYLOAD, R.LOOKAHEAD, hot_rows=hot_rows)
     return R.flag_steps(placed)
 
 
@@ -58,10 +58,11 @@ def test_issue_texts(spark):
 
 
 @pytest.mark.parametrize("lines", [1, 2, 3, 5])
-def test_hot_sessions_give_the_same_flags(spark, lines):
+def test_hot_sessions_give_the_same_flags(spark, monkeypatch, lines):
     """Cutting sessions into parts of a few lines must not change anything."""
     import random
 
+    monkeypatch.setattr(skew, "CUT_SAMPLES", lines)
     random.seed(lines)
     kinds = [("click", 0.5), ("type",), ("key",), ("scroll",)]
     cases = {f"s{i}": [random.choice(kinds[: random.randint(1, 4)]) for _ in range(random.randint(1, 60))] for i in range(8)}
@@ -70,11 +71,25 @@ def test_hot_sessions_give_the_same_flags(spark, lines):
     df = df.where("line % 7 != 3 or session_id = 's0'")
     order = ["session_id", "pos"]
     whole = flagged(df).orderBy(*order).collect()
-    cut = flagged(df, hot_rows=1, lines=lines).orderBy(*order).collect()
+    cut = flagged(df, hot_rows=1).orderBy(*order).collect()
     assert whole == cut
     assert [r.pos for r in whole if r.session_id == "s0"] == list(range(len(cases["s0"])))
 
 
+def test_a_second_with_all_steps_is_cut(spark):
+    steps = spark.range(2_000).select(
+        F.when(F.col("id") < 1_900, "hot").otherwise("cold").alias("session_id"), F.lit(7).alias("ts"), (F.col("id") * 37 % 2_003).alias("event_id"))
+    order = ["ts", "event_id"]
+    cuts = {r["session_id"]: [c["event_id"] for c in r["_cuts"]] for r in skew._cut_points(steps, order, "session_id", 200).collect()}
+    assert list(cuts) == ["hot"] and cuts["hot"] == sorted(cuts["hot"])
+    ids = sorted(i * 37 % 2_003 for i in range(1_900))
+    bounds = [0, *cuts["hot"], 2_003]
+    assert max(sum(a <= i < b for i in ids) for a, b in zip(bounds, bounds[1:])) <= 600 and len(cuts["hot"]) >= 5
+    placed = skew.in_order(steps, order, ["event_id"], 3, hot_rows=200).where("session_id = 'hot'").orderBy("pos").collect()
+    assert [r["event_id"] for r in placed] == ids and [r["pos"] for r in placed] == list(range(1_900))
+    assert all([f["event_id"] for f in r["following"]] == ids[i + 1 : i + 4] for i, r in enumerate(placed))
+
+
 def test_empty_sessions(spark):
     report = R.quality_report(flagged(steps(spark)))
     sessions = spark.createDataFrame([("good",), ("nothing",)], "session_id string")
