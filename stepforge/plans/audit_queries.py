@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stepforge.functions import parsing as P
 from stepforge.functions import personal as personal_findings
-from stepforge.operators import audit, semantic
+from stepforge.operators import audit, semantic, versions
 from stepforge.plans import shared
 from stepforge.plans import sqlviews as V
 from stepforge.plans.catalog import query
@@ -102,6 +102,19 @@ def used_by(spark, sf):
 _SHARES = {"en": 0.4, "de": 0.3, "fr": 0.2, "es": 0.1}
 
 
+@query("X8_changes", V.with_view(V.SAMPLES, """
+SELECT sample_id, CASE WHEN doc_id % 101 = 0 THEN 'removed' ELSE 'changed' END AS change
+FROM samples_v WHERE doc_id % 101 = 0 OR (doc_id % 97 = 0 AND task <> 'Quit')"""))
+def stored_changes(spark, sf):
+    """Two stored versions that differ in few rows; only buckets with another digest are read."""
+    s = A.samples(spark, sf).select("sample_id", "doc_id", "task", "action_type")
+    after = s.where("doc_id % 101 <> 0").withColumn("task", F.when(F.col("doc_id") % 97 == 0, "Quit").otherwise(F.col("task")))
+    paths = [new_folder(spark, "version") for _ in range(2)]
+    for rows, path in zip((s, after), paths):
+        versions.write_version(rows, path, "sample_id", ["task", "action_type"])
+    return versions.changes(spark, *paths, "sample_id", ["task", "action_type"])
+
+
 @query("X9", f"""
 WITH share_v(lang, share) AS (VALUES {', '.join(f"('{k}', {v}::DOUBLE)" for k, v in _SHARES.items())}),
 quota_v AS (SELECT lang, floor(min(n / share) OVER () * share) AS quota FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang) JOIN share_v USING (lang))
