@@ -253,6 +253,36 @@ def test_session_sink_round_trip(spark, tmp_path):
     assert (tmp_path / "rec/session_file=session_s1.jsonl").is_dir()
 
 
+def test_sessions_share_a_bounded_number_of_folders(spark, tmp_path):
+    steps = spark.range(300).selectExpr("concat('s', id % 100) AS session_id", "id AS step_index")
+    W.append_session_steps(steps, str(tmp_path / "rec"), folders=4)
+    folders = list((tmp_path / "rec").glob("session_file=session_*.jsonl"))
+    assert 1 < len(folders) <= 4
+    back = spark.read.json(str(tmp_path / "rec"))
+    assert sorted(r.step_index for r in back.collect()) == list(range(300))
+    assert back.groupBy("session_id").agg({"session_file": "count"}).count() == 100
+    assert back.select("session_id", "session_file").distinct().count() == 100
+
+
+def test_variance_on_an_edge_equals_the_running_mean(spark):
+    from stepforge.functions import pixels as X
+
+    rnd = np.random.default_rng(3)
+    frames = [rnd.integers(0, 256, 192, dtype=np.uint8) for _ in range(50)]
+    def running(values):
+        mean = squares = 0.0
+        for i, v in enumerate(map(float, values)):
+            after = mean + (v - mean) / (i + 1)
+            squares, mean = squares + (v - after) * (v - mean), after
+        return squares / len(values)
+
+    rows = [(i, 8, 8, 3, bytearray(f.tobytes())) for i, f in enumerate(frames)] + [(50, 8, 8, 3, None), (51, 8, 8, 3, bytearray(b"x"))]
+    df = spark.createDataFrame(rows, "i int, h int, w int, c int, d binary")
+    got = {r.i: r.v for r in df.select("i", X.pixel_variance("h", "w", "c", "d").alias("v")).collect()}
+    assert got == {i: running(f) for i, f in enumerate(frames)} | {50: None, 51: None}
+    assert any(running(f) != float(f.astype(np.float64).var()) for f in frames)
+
+
 def test_live_feed(spark, tmp_path):
     def write(name, rows):
         spark.createDataFrame(rows, feed.STEP_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "tmp" / name))
