@@ -229,3 +229,13 @@ def test_a_lookup_reads_the_slots_it_hits(spark, tmp_path):
     assert 1 <= len(hit) <= 10 and any(all(f"{k}" in re.findall(r"\d+", f) for k in hit) and "slot" in f for f in filters)
     assert one.first().id in {r.id for r in found.collect()}
     assert reader.rows().count() == frame(spark, random_rows(2)).where("sha is not null or phash is not null").count()
+
+
+def test_rows_of_uncrowded_buckets_are_narrow_and_not_shuffled_before_their_join(spark):
+    rows = U.prepare(frame(spark, random_rows(5))).drop("phash")
+    keyed, slices = U.bucket_keys(rows, 8)
+    assert slices is None and keyed.schema["key"].dataType.simpleString() == "bigint"
+    assert not {"bits", "phash", "band"} & set(keyed.columns)
+    assert "Exchange" not in keyed._jdf.queryExecution().executedPlan().toString()
+    _, slices = U.bucket_keys(rows, 8, bucket_rows=4, hot_rows=5)
+    assert slices.where("_slices > 1").count() > 0

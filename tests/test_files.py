@@ -265,10 +265,9 @@ def test_sessions_share_a_bounded_number_of_folders(spark, tmp_path):
 
 
 def test_variance_on_an_edge_equals_the_running_mean(spark):
-    from stepforge.functions import pixels as X
-
     rnd = np.random.default_rng(3)
     frames = [rnd.integers(0, 256, 192, dtype=np.uint8) for _ in range(50)]
+
     def running(values):
         mean = squares = 0.0
         for i, v in enumerate(map(float, values)):
