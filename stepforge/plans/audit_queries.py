@@ -12,7 +12,7 @@ from stepforge.plans import sqlviews as V
 from stepforge.plans.catalog import query
 from stepforge.sources import adapters as A
 from stepforge.sources import recordings
-from stepforge.storage import new_folder
+from stepforge.storage import materialize, new_folder
 
 _PERSONAL = V.personal("text")
 _FLAGS = ", ".join(f"{test} AS {name}" for name, test in _PERSONAL.items())
@@ -70,8 +70,10 @@ def personal(spark, sf):
 def personal_masks(spark, sf):
     """Texts with personal data, masked: what was found, and that nothing is left."""
     d = A.table(spark, sf, "documents").select("doc_id", "text")
+    # few texts, used twice: written once
+    d = materialize(d.where(~personal_findings.none_found(F.col("text"))), "personal")
     found = personal_findings.findings(d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_findings"), F.array_sort(F.collect_set("kind")).alias("kinds"))
-    masked = d.where(~personal_findings.none_found(F.col("text"))).select("doc_id", personal_findings.masked_text(F.col("text")).alias("masked"))
+    masked = d.select("doc_id", personal_findings.masked_text(F.col("text")).alias("masked"))
     return masked.join(found, "doc_id").select(
         "doc_id", "n_findings", F.array_join("kinds", ",").alias("kinds"), F.sha2("masked", 256).alias("masked_sha256"),
         personal_findings.none_found(F.col("masked")).alias("clean"),
