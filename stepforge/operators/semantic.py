@@ -10,8 +10,13 @@ visitors are dealt over tasks of bounded size and compared by block products.
 Around each pivot there is a core of half the limit's angle.  Any two vectors of a core
 are surely linked, so they are counted and never compared: a dense cluster costs one
 row per vector.  Vectors without structure (all angles near 90 degrees) are not told
-apart by any pivot; they cost block products in proportion to the square of their number,
-in tasks of unchanged size.
+apart by any pivot.  Where visits would leave more than a quarter of the pairs, the vectors
+outside the cores are dealt over blocks that meet pairwise: products in proportion to the
+square of their number, but each vector is copied to ``BLOCKS`` tasks only, until a block
+would pass ``BLOCK_POINTS``.
+
+Products are taken in single precision; pairs too near the limit for it are computed again
+in double precision.
 
 Equal directions are one point with a weight.  No link is lost and no pair is put out:
 the result has one row per vector with its number of links and the smallest id of its
@@ -38,10 +43,12 @@ from stepforge.storage import Written, materialize
 COSINE = 0.95
 PIVOTS = 64  # at most; their angles and the groups' ranges travel with the tasks
 POINTS_A_PIVOT = 256  # small tables need fewer
-MEMBERS = 4096  # of a group in one task, about
-VISITORS = 8192
+MEMBERS = 65536  # of a group in one task, about
+VISITORS = 65536
+BLOCKS = 16  # of vectors that pivots do not tell apart; small tables have fewer, very large ones more
+BLOCK_LEAST, BLOCK_POINTS = 8192, 262144
 SLACK = 1e-6  # far above the rounding of an angle
-BLOCK = 512
+TILE = 1024
 
 
 def directed(vectors: DataFrame, key: str, embedding: str, size: int) -> DataFrame:
@@ -62,11 +69,11 @@ def directed(vectors: DataFrame, key: str, embedding: str, size: int) -> DataFra
             place[at] = np.arange(len(at))
             pick = pa.array(place, mask=place < 0)
             codes = pa.array([hashlib.sha256(u).hexdigest() for u in units], pa.string())
-            lists = pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * size, pa.array(units.ravel(), pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), codes.take(pick), lists.take(pick)], names=["key", "code", "unit"])
+            packed = pa.array([u.tobytes() for u in units], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), codes.take(pick), packed.take(pick)], names=["key", "code", "unit"])
 
     kind = wanted.schema["key"].dataType.simpleString()
-    return wanted.mapInArrow(run, f"key {kind}, code string, unit array<double>")
+    return wanted.mapInArrow(run, f"key {kind}, code string, unit binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -74,6 +81,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def _units(column: pa.Array) -> np.ndarray:
+    """Rows of doubles from a binary column without nulls."""
+    if not len(column):
+        return np.zeros((0, 1))
+    _, starts, data = column.buffers()
+    start = np.frombuffer(starts, np.int32)[column.offset : column.offset + len(column) + 1]
+    flat = np.frombuffer(data, np.float64, (start[-1] - start[0]) // 8, start[0])
+    return flat.reshape(len(column), -1)
+
+
 class _Sphere:
     """Pivots and the groups around them."""
 
@@ -85,14 +102,14 @@ class _Sphere:
         return np.arccos(np.clip(units @ self.pivots.T, -1.0, 1.0))
 
     def group(self, angles: np.ndarray) -> np.ndarray:
-        """Ring 0 is the core."""
+        """Ring 0 is the core; the cores come first."""
         home = angles.argmin(axis=1)
         near = angles[np.arange(len(angles)), home]
-        ring = np.where(near < self.limit / 2 - SLACK, 0, 1 + (near / self.limit).astype(np.int64))
-        return home * self.rings + ring
+        ring = 1 + (near / self.limit).astype(np.int64)
+        return np.where(near < self.limit / 2 - SLACK, home, len(self.pivots) + home * self.rings + ring)
 
     def is_core(self, group) -> np.ndarray:
-        return np.asarray(group) % self.rings == 0
+        return np.asarray(group) < len(self.pivots)
 
 
 _RANGES = "group long, pivot int, low double, high double, points long, copies long, first string"
@@ -105,7 +122,7 @@ def _ranges(points: DataFrame, sphere: _Sphere) -> pd.DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            angles = sphere.angles(_matrix(batch.column("unit")))
+            angles = sphere.angles(_units(batch.column("unit")))
             group = sphere.group(angles)
             found, which = np.unique(group, return_inverse=True)
             low = np.full((len(found), angles.shape[1]), np.inf)
@@ -148,6 +165,7 @@ class _Groups:
         self.points, self.copies = one["points"].to_numpy(), one["copies"].to_numpy()
         self.first = one["first"].to_numpy()
         self.core = sphere.is_core(self.names)
+        self.blocks = 0  # of the points outside the cores, where their groups are of no use
 
     def own(self, angles: np.ndarray) -> np.ndarray:
         """Places of the points' groups."""
@@ -155,24 +173,32 @@ class _Groups:
 
     def visits(self, angles: np.ndarray, own: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(group, points that must look there); a pair of groups meets in the first of them."""
-        for g in range(len(self.names)):
+        for g in range(self.core.sum() if self.blocks else len(self.names)):
             later = np.flatnonzero((own > g) | ((own == g) & ~self.core[g]))
             seen = angles[later]
             later = later[((seen >= self.low[g]) & (seen <= self.high[g])).all(axis=1)]
             if len(later):
                 yield g, later
 
-    def divide(self, visitors: dict[int, int], members: int, visits: int) -> None:
+    def divide(self, visitors: dict[int, int], members: int, visits: int, block_least: int) -> None:
+        loose = int(self.points[~self.core].sum())
+        pairs = sum(int(self.points[g]) * n for g, n in visitors.items() if not self.core[g])
+        if pairs * 8 > loose * loose:
+            self.blocks = max(-(-loose // BLOCK_POINTS), min(BLOCKS, -(-loose // block_least)))
         self.parts = -(-self.points // members)
         self.slices = np.array([-(-visitors.get(g, 0) // visits) for g in range(len(self.names))])
 
+    def tasks(self) -> int:
+        one = self.core if self.blocks else np.ones(len(self.names), bool)
+        return max(1, int((self.parts * self.slices)[one].sum()) + self.blocks * (self.blocks + 1) // 2)
+
 
 def _visitors(points: DataFrame, groups: _Groups) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(groups.names), np.int64)
         for batch in batches:
             if batch.num_rows:
-                angles = groups.sphere.angles(_matrix(batch.column("unit")))
+                angles = groups.sphere.angles(_units(batch.column("unit")))
                 for g, who in groups.visits(angles, groups.own(angles)):
                     total[g] += len(who)
         used = np.flatnonzero(total)
@@ -182,7 +208,7 @@ def _visitors(points: DataFrame, groups: _Groups) -> dict[int, int]:
     return {r.g: r.n for r in counted.collect()}  # one row per group at most
 
 
-_DEALT = "g long, part long, slice long, member boolean, own boolean, code string, copies long, unit array<double>"
+_DEALT = "g long, part long, slice long, member boolean, own boolean, code string, copies long, unit binary"
 
 
 def _deal(points: DataFrame, groups: _Groups) -> DataFrame:
@@ -200,10 +226,20 @@ def _deal(points: DataFrame, groups: _Groups) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            angles = groups.sphere.angles(_matrix(batch.column("unit")))
+            angles = groups.sphere.angles(_units(batch.column("unit")))
             own = groups.own(angles)
             code = np.array([int(c[:15], 16) for c in batch.column("code").to_pylist()], np.int64)
+            if groups.blocks:
+                loose = np.flatnonzero(~groups.core[own])
+                block = code[loose] % groups.blocks
+                for other in range(groups.blocks):
+                    low, high = len(groups.names) + np.minimum(block, other), np.maximum(block, other)
+                    yield copies_of(batch, loose, low, high, 0, block <= other, block == other)
+                    same = block == other
+                    yield copies_of(batch, loose[same], low[same], high[same], 0, False, True)
             for g in np.unique(own):
+                if groups.blocks and not groups.core[g]:
+                    continue
                 who = np.flatnonzero(own == g)
                 for s in range(groups.slices[g]):
                     yield copies_of(batch, who, g, code[who] % groups.parts[g], s, True, True)
@@ -218,35 +254,78 @@ def _deal(points: DataFrame, groups: _Groups) -> DataFrame:
 _FOUND = "code string, other string, links long"
 
 
-def _compared(dealt: DataFrame, cosine: float) -> DataFrame:
+class _Forest:
+    """Trees of linked rows of a task; keeps the links that joined two of them."""
+
+    def __init__(self, size: int):
+        self.tree, self.links = np.arange(size), []
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        _, first = np.unique(a, return_index=True)  # one link a row joins most of what is dense
+        for some in (first, slice(None)):
+            left, right = a[some], b[some]
+            apart = self.tree[left] != self.tree[right]
+            left, right = left[apart], right[apart]
+            if not len(left):
+                continue
+            names, which = np.unique(self.tree[np.r_[left, right]], return_inverse=True)
+            up = list(range(len(names)))
+
+            def root(x: int) -> int:
+                while up[x] != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            for i, (x, y) in enumerate(which.reshape(2, -1).T.tolist()):
+                x, y = root(x), root(y)
+                if x != y:
+                    up[y] = x
+                    self.links.append((int(left[i]), int(right[i])))
+            to = np.arange(len(self.tree))
+            to[names] = names[[root(x) for x in range(len(names))]]
+            self.tree = to[self.tree]
+
+
+def _compared(dealt: DataFrame, cosine: float, tasks: int) -> DataFrame:
     """Numbers of links (``other`` null) and a forest of links, from each task's members and visitors."""
 
     def run(table):
-        member = table["member"].to_numpy()
-        units, code, copies = _matrix(table["unit"].combine_chunks()), table["code"].to_numpy(), table["copies"].to_numpy()
-        own, m, v = table["own"].to_numpy(), np.flatnonzero(member), np.flatnonzero(~member)
-        links = np.zeros(len(code), np.int64)
-        tree = np.arange(len(m))
-        pairs: list[tuple[str, str]] = []
-        for at in range(0, len(v), BLOCK):
-            some = v[at : at + BLOCK]
-            hit = units[some] @ units[m].T > cosine
-            hit &= ~own[some][:, None] | (code[some][:, None] > code[m][None, :])
-            links[some] += hit @ copies[m]
-            links[m] += copies[some] @ hit
-            for i in np.flatnonzero(hit.any(axis=1)):
-                trees, lead = np.unique(tree[near := np.flatnonzero(hit[i])], return_index=True)
-                pairs += [(code[some[i]], code[m[j]]) for j in near[lead]]
-                if len(trees) > 1:
-                    tree[np.isin(tree, trees)] = trees[0]
+        units, code = _units(table["unit"].combine_chunks()), table["code"].to_numpy()
+        copies, own, member = (table[c].to_numpy() for c in ("copies", "own", "member"))
+        m, v = np.flatnonzero(member), np.flatnonzero(~member)
+        same, place = np.unique(code.astype("S64"), return_inverse=True)  # a point can be both member and visitor
+        short = units.astype(np.float32)
+        doubt = 1e-6 + 2e-7 * units.shape[1]  # above the rounding of a product in single precision
+        links = np.zeros(len(same))
+        forest = _Forest(len(same))
+        across = [(who, np.ascontiguousarray(short[who].T)) for who in (m[at : at + TILE] for at in range(0, len(m), TILE))]
+        for at in range(0, len(v), TILE):
+            some = v[at : at + TILE]
+            left = short[some]
+            for who, right in across:
+                near = left @ right
+                hit = np.flatnonzero(near.ravel() > cosine - doubt)
+                if not len(hit):
+                    continue
+                i, j = np.divmod(hit, len(who))
+                sure = near[i, j] > cosine + doubt
+                i, j = some[i], who[j]
+                ask = np.flatnonzero(~sure)
+                sure[ask] = np.einsum("ij,ij->i", units[i[ask]], units[j[ask]]) > cosine
+                sure &= ~own[i] | (place[i] > place[j])
+                i, j = i[sure], j[sure]
+                links += np.bincount(place[i], copies[j], len(same)) + np.bincount(place[j], copies[i], len(same))
+                forest.join(place[i], place[j])
         used = np.flatnonzero(links)
+        named = lambda at: [same[x].decode() for x in at]
         return pa.table({
-            "code": pa.array([*code[used], *(a for a, _ in pairs)], pa.string()),
-            "other": pa.array([None] * len(used) + [b for _, b in pairs], pa.string()),
-            "links": pa.array([*links[used].tolist(), *[0] * len(pairs)], pa.int64()),
+            "code": pa.array([*named(used), *named(a for a, _ in forest.links)], pa.string()),
+            "other": pa.array([None] * len(used) + named(b for _, b in forest.links), pa.string()),
+            "links": pa.array([*links[used].astype(np.int64).tolist(), *[0] * len(forest.links)], pa.int64()),
         })
 
-    return dealt.groupBy("g", "part", "slice").applyInArrow(run, _FOUND)
+    keys = ("g", "part", "slice")
+    return dealt.repartition(min(tasks, 4096), *keys).groupBy(*keys).applyInArrow(run, _FOUND)
 
 
 def _cores(points: DataFrame, groups: _Groups) -> DataFrame:
@@ -256,7 +335,7 @@ def _cores(points: DataFrame, groups: _Groups) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = groups.own(groups.sphere.angles(_matrix(batch.column("unit"))))
+            own = groups.own(groups.sphere.angles(_units(batch.column("unit"))))
             who = np.flatnonzero(groups.core[own])
             code = batch.column("code").take(pa.array(who))
             links = groups.copies[own[who]] - batch.column("copies").to_numpy()[who]
@@ -268,7 +347,8 @@ def _cores(points: DataFrame, groups: _Groups) -> DataFrame:
 
 
 def links(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", embedding: str = "embedding",
-          pivots: int = PIVOTS, members: int = MEMBERS, visitors: int = VISITORS, hot_rows: int = HOT_ROWS) -> DataFrame:
+          pivots: int = PIVOTS, members: int = MEMBERS, visitors: int = VISITORS, hot_rows: int = HOT_ROWS,
+          block_least: int = BLOCK_LEAST) -> DataFrame:
     """Per vector: its key, ``n_links`` (others at a cosine above the limit) and ``group_id``.
 
     ``group_id`` is the smallest key that links reach.  A vector without a direction, or
@@ -285,13 +365,13 @@ def links(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", embed
         "points",
     )
     wanted = min(pivots, 1 + points.count() // POINTS_A_PIVOT)
-    chosen = [r.unit for r in points.orderBy("code").limit(wanted).select("unit").collect()]
+    chosen = [np.frombuffer(r.unit) for r in points.orderBy("code").limit(wanted).select("unit").collect()]
     if not chosen:
         return rows.select(F.col("key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("key").alias("group_id"))
     sphere = _Sphere(np.array(chosen), cosine)
     groups = _Groups(_ranges(points, sphere), sphere)
-    groups.divide(_visitors(points, groups), members, visitors)
-    found = Written(_compared(_deal(points, groups), cosine).unionByName(_cores(points, groups)), "links")
+    groups.divide(_visitors(points, groups), members, visitors, block_least)
+    found = Written(_compared(_deal(points, groups), cosine, groups.tasks()).unionByName(_cores(points, groups)), "links")
     counts = found.table.where("other IS NULL").groupBy("code").agg(F.sum("links").alias("links"))
     reached = components(found.table.where("other IS NOT NULL").select(F.col("code").alias("a"), F.col("other").alias("b")))
     placed = points.join(reached.withColumnRenamed("node", "code"), "code", "left").withColumn("comp", F.coalesce("comp", "code"))

@@ -61,3 +61,34 @@ def test_a_dense_cluster_is_counted_not_compared(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert semantic.links(none).count() == 0
+
+
+@pytest.mark.parametrize("least", [7, 40, 1000])
+def test_vectors_that_pivots_do_not_tell_apart_meet_in_blocks(spark, monkeypatch, least):
+    monkeypatch.setattr(semantic, "POINTS_A_PIVOT", 20)
+    rng = np.random.default_rng(8)
+    loose = rng.normal(size=(150, 16))
+    dense = loose[0] * 4 + rng.normal(size=(30, 16)) * 0.02
+    told = loose[:60] + 0.33 * loose[1:61]
+    on_the_limit = [np.r_[1.0, np.zeros(15)], np.r_[0.95 + 1e-12, np.sqrt(1 - (0.95 + 1e-12) ** 2), np.zeros(14)],
+                    np.r_[0.95 - 1e-12, np.zeros(3), np.sqrt(1 - (0.95 - 1e-12) ** 2), np.zeros(11)]]
+    every = [(i, v.tolist()) for i, v in enumerate(np.vstack([loose, told, dense, loose[:9], on_the_limit]))]
+    df = spark.createDataFrame(every, "vec_id long, embedding array<double>")
+    seen = []
+    deal = semantic._deal
+    monkeypatch.setattr(semantic, "_deal", lambda points, groups: seen.append(groups.blocks) or deal(points, groups))
+    assert sorted(tuple(r) for r in semantic.links(df, block_least=least).collect()) == plain(every)
+    assert seen[0] >= (1 if least == 1000 else 3)
+
+
+def test_copies_grow_as_the_vectors(spark):
+    """Each loose vector is copied to at most a fixed number of tasks."""
+    rng = np.random.default_rng(2)
+    for n in (600, 2400):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(n, 64)))], "vec_id long, embedding array<double>")
+        points = semantic.directed(df, "vec_id", "embedding", 64).selectExpr("code", "1L as copies", "unit")
+        sphere = semantic._Sphere(np.array([np.frombuffer(r.unit) for r in points.orderBy("code").limit(32).collect()]), 0.95)
+        groups = semantic._Groups(semantic._ranges(points, sphere), sphere)
+        groups.divide(semantic._visitors(points, groups), semantic.MEMBERS, semantic.VISITORS, 30)
+        assert groups.blocks == semantic.BLOCKS
+        assert semantic._deal(points, groups).count() <= n * (semantic.BLOCKS + 3)
